@@ -1 +1 @@
-"""See the module docstrings."""
+"""How plans are run: shipping this package to Python workers."""
