@@ -90,3 +90,13 @@ def score_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", te
     rows = rows.withColumn("score", F.expr("case when size(grams) = 0 then 0D else aggregate(grams, 0D, (a, b) -> a + weights[b]) / size(grams) end"))
     kept = ~F.col("base_failed") & (F.col("score") >= threshold)
     return rows.select("own.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.round("score", 6).alias("score"), kept.alias("kept"))
+
+
+def kept_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of `docs` that score_documents keeps.
+
+    A random column beside the verdict, always at least 0, keeps the optimizer from pushing the
+    filter below the projections, where it would repeat their arrays once for every reference.
+    """
+    scored = score_documents(docs, trusted, key, text, keep_columns=True, **options).withColumn("__barrier", F.rand(0))
+    return scored.where(F.col("kept") & (F.col("__barrier") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])

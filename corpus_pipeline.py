@@ -21,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or the likelihood ratio's threshold go."""
     trusted = read(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
-    return quality_rules.score_documents(docs.select(*COLUMNS), trusted, keep_columns=True).where("kept").select(*COLUMNS)
+    return quality_rules.kept_documents(docs.select(*COLUMNS), trusted)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
