@@ -8,9 +8,10 @@ enough are probed for in the long lists by bisection.
 
 Distribution. (1) One pass names every document's set by a digest; documents of equal sets are one
 class, and only its first goes on. The same pass counts shingles, whose most frequent (a bounded
-list) rank last in the global order. (2) By the prefix filter, linked sets share one of their
-first n - T + 1 shingles in that order. Classes that share one meet in a cell, named by the least of
-them; any linked pair shares a cell. (3) Texts are sent to cells, first each class to one cell
+list) rank last in the global order. (2) By the prefix filter, linked sets share k of
+their first n - T + k shingles in that order; sets that share fewer with all others together are
+done. Classes that share one meet in a cell, named by the least of them; any linked pair shares a
+cell. (3) Texts are sent to cells, first each class to one cell
 only, then to those cells that are not one component already. A cell beyond a size is cut into
 blocks, all pairs of which meet in bounded tasks. (4) In a cell the T-occurrence search runs over
 the whole sets. Links become components by contraction.
@@ -39,6 +40,8 @@ from .components import components
 from .word_hashes import WordNames, mix, window_names
 
 WIDTH, PERCENT = 5, 75
+#: Prefixes are longer by this share of a set, and linked sets then share as many shingles there, not only one.
+EXTRA_PERCENT = 10
 #: Shingles ranked by frequency: the most frequent, at most so many. Others rank before them, by name.
 RANKED = 1 << 18
 #: Shingles counted together in a worker, and the count there from which they are told.
@@ -76,6 +79,19 @@ def needed(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
+def extra(n: int) -> int:
+    return max(1, EXTRA_PERCENT * n // 100)
+
+
+def shared_at_least(n: int, percent: int = PERCENT) -> int:
+    """Shingles that a set of n shares in its prefix with any set it links to.
+
+    Of O common shingles in the global order the k-th stands in a set of n before the O - k others, so
+    within the first n - needed(n) + k; k is the lesser extra of the two, and the other set has needed(n) at least.
+    """
+    return min(extra(n), extra(needed(n, percent)))
+
+
 def reaches(overlap, n, m, percent: int = PERCENT):
     return 100 * overlap >= percent * (n + m - overlap)
 
@@ -133,8 +149,8 @@ def _order(named: DataFrame, ranked: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_of(own: np.ndarray, names: np.ndarray, ranks: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first n - T + 1 shingles of a set in the global order."""
-    size = len(own) - needed(len(own), percent) + 1
+    """The first n - T + extra shingles of a set in the global order."""
+    size = len(own) - needed(len(own), percent) + extra(len(own))
     if len(names):
         at = np.minimum(np.searchsorted(names, own), len(names) - 1)
         rank = np.where(names[at] == own, ranks[at], 0)
@@ -288,11 +304,14 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     least = F.min("doc").over(Window.partitionBy("token"))
     most = F.max("doc").over(Window.partitionBy("token"))
-    shared = _postings(rows, order, width, percent).select("doc", least.alias("cell"), most.alias("last")).where("cell <> last").select("doc", "cell").distinct()
+    shared = _postings(rows, order, width, percent).select("doc", least.alias("cell"), most.alias("last")).where("cell <> last").groupBy("doc", "cell").agg(F.count("*").alias("tokens"))
+    # A set that shares fewer shingles than a link takes has none.
+    enough = F.greatest(F.lit(1), F.least(*[F.expr(f"{EXTRA_PERCENT} * {n} div 100") for n in ("n", f"((({percent} * n) + 99) div 100)")]))
+    ids = classes.groupBy("doc").agg(F.min("first").alias("first"))
+    of_doc = shared.withColumn("all_tokens", F.sum("tokens").over(Window.partitionBy("doc"))).join(classes, "doc").where(F.col("all_tokens") >= enough)
     # Ids that stand for one class meet here.
-    ids = classes.select("doc", "first").distinct()
-    members = shared.join(classes.select("doc", "first", "n"), "doc").join(ids.select(F.col("doc").alias("cell"), F.col("first").alias("named")), "cell")
-    members = materialise(members.select(F.col("named").alias("cell"), F.col("first").alias("doc"), "n").distinct())
+    members = of_doc.select("cell", F.col("first").alias("doc"), "n").join(ids.select(F.col("doc").alias("cell"), F.col("first").alias("named")), "cell")
+    members = materialise(members.select(F.col("named").alias("cell"), "doc", "n").distinct())
     lone = members.groupBy("cell").agg(F.count("*").alias("m")).where("m = 1").select("cell")
     members = members.join(lone, "cell", "left_anti")
 
