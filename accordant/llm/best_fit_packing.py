@@ -17,9 +17,12 @@ no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -32,11 +35,13 @@ CAPACITY = 2048
 SEPARATOR = 0
 #: Salts of a length: a common one is ranked in so many tasks.
 SALTS = 256
-#: Parts that byte-level BPE encodes alone, since its own split never crosses them.
-_PART = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: Parts that byte-level BPE encodes alone, since its own split never crosses them: a run of letters that a blank or
+#: plain punctuation ends, else all up to the next blank, and blanks by the tokenizer's own rule.
+_PART = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[\s.,;:!?]|\Z)| ?\S+|\s+(?!\S)|\s+")
 #: Python's \s takes these, the tokenizer's doesn't: such texts go to the library whole.
-_ODD = re.compile("[\x1c-\x1f]")
-CACHED_PARTS = 200_000
+_ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: Parts that a worker remembers; the older half, which holds the common ones, outlives the newer.
+CACHED_PARTS = 400_000
 
 PIECES = "key long, piece int, start long, length int, ids_crc32 long"
 
@@ -51,24 +56,40 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([_ODD.pattern, *map(re.escape, added)]))
+        self.whole = (*_ODD, *(t.content for t in self.library.get_added_tokens_decoder().values()))
         self.parts: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if self.whole.search(t) else _PART.findall(t) for t in texts]
-        parts = self.parts
-        new = {p for own in split if own for p in own if p not in parts}
-        if len(parts) + len(new) > CACHED_PARTS:
-            parts.clear()
-            new = {p for own in split if own for p in own}
-        fresh = sorted(new)
+        if len(self.parts) > CACHED_PARTS:
+            self.parts = dict(islice(self.parts.items(), CACHED_PARTS // 2))
+        known, split, found, open_ = self.parts.get, [], [], []
+        for n, t in enumerate(texts):
+            if any(x in t for x in self.whole):
+                split.append(None)
+                found.append(self._library([t]))
+                continue
+            split.append(own := _PART.findall(t))
+            found.append(got := list(map(known, own)))
+            if None in got:
+                open_.append((n, [i for i, ids in enumerate(got) if ids is None]))
+        fresh = sorted({split[n][i] for n, places in open_ for i in places})
         for a in range(0, len(fresh), 20_000):
-            parts.update(zip(fresh[a : a + 20_000], self._library(fresh[a : a + 20_000])))
-        return [self._library([t])[0] if own is None else b"".join(map(parts.__getitem__, own)) for t, own in zip(texts, split)]
+            self.parts.update(zip(fresh[a : a + 20_000], self._library(fresh[a : a + 20_000])))
+        for n, places in open_:
+            own, got = split[n], found[n]
+            for i in places:
+                got[i] = known(own[i])
+        return [b"".join(got) for got in found]
+
+
+@lru_cache(maxsize=2)
+def load(path: str) -> PartEncoder:
+    """One encoder for all tasks of a worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return PartEncoder(path)
 
 
 def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
@@ -76,10 +97,7 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     end = np.array([separator], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = PartEncoder(path)
+        encoder = load(path)
         for batch in batches:
             texts, keys, rows = batch["t"].tolist(), batch["key"].astype("Int64").tolist(), []
             for a, b in chunks(texts):
