@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ from .common import chunks
 BLANK = "▁"
 _WORD = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 #: Distinct words a worker remembers at most.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 300_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -149,13 +150,21 @@ class _Cache(dict):
 
     def fill(self, model: PieceModel, words: list[list[str]]) -> None:
         new = {w for own in words for w in own if w not in self}
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = {w for own in words for w in own}
+        if len(self) > CACHED_WORDS:  # the older half, which holds the common words, stays
+            for w in list(islice(self, CACHED_WORDS // 2, None)):
+                if w not in new:
+                    del self[w]
+            new = {w for own in words for w in own if w not in self}
         fresh = sorted(new)
         self.update(zip(fresh, model.encode_words(fresh)))
 
 
+@lru_cache(maxsize=2)
+def cache_of(path: str) -> _Cache:
+    """One cache for all tasks of a worker."""
+    return _Cache()
+
+
 def encode_texts(model: PieceModel, texts: list[str], cache: _Cache | None = None) -> list[list[int]]:
     cache = _Cache() if cache is None else cache
     out = []
@@ -174,7 +183,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     """`key` and `ids`, an array of each row's ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, cache = load(path), _Cache()
+        model, cache = load(path), cache_of(path)
         for batch in batches:
             texts, keys = batch["t"].tolist(), batch["key"].astype("Int64")
             for a, b in chunks(texts, 8_000_000):
