@@ -5,13 +5,13 @@ whose first symbol falls on the left and whose second falls on the right side of
 depends on the symbol and the round alone, by new symbols named from their parts. Names are thus
 global without any exchange, and a passage gets the same interior symbols wherever it stands.
 
-Two kinds of symbols leave the workers. Blocks are symbols of a window's length or more: a shared
-block covers every window inside it at once. Anchors see to it that nothing is missed: after the
+Two kinds of names leave the workers. Blocks are two neighbouring symbols of a window's length or
+more, with what stands between: a shared block covers every window inside it at once. Anchors see to it that nothing is missed: after the
 first round a symbol has two words at most, and whether two words are parted depends on these two
 alone, so every window contains chains of whole symbols of CHAIN or CHAIN + 1 words whose ends its own words
 determine; the least name of these chains is the window's anchor, the same for equal windows.
 Only windows whose anchor occurs in several documents, and that no block covers, are compared by
-their own 128-bit names, which verifies them.
+their own 95-bit names, which verifies them.
 
 Distribution. Names are aggregated in the worker before the shuffle: of the documents of a chunk
 that share a name only the least goes on, so a passage that a third of the documents hold is a few
@@ -47,7 +47,9 @@ ROUNDS = 14
 #: Characters whose names are aggregated together in a worker.
 TOGETHER = 6_000_000
 _TOP = np.iinfo(np.uint64).max
-_PAIR, _RUN, _COIN = factors(3, 21), factors(3, 22), factors(ROUNDS + 1, 23)
+_PAIR, _RUN, _COIN, _BLOCK = factors(3, 21), factors(3, 22), factors(ROUNDS + 1, 23), factors(3, 24)
+#: A cover in one long: whether it is known, a part of the text's digest, the first window.
+_KNOWN, _DIGEST_BITS, _START_BITS = 1 << 62, 30, 32
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -72,8 +74,21 @@ class Recompressed:
             if not (lengths < window).any():
                 break
             symbols, starts, lengths = self._pairs(*self._runs(symbols, starts, lengths), n)
-        whole = lengths >= window
-        self.blocks, self.block_starts, self.block_lengths = symbols[whole], starts[whole], lengths[whole]
+        self._blocks(symbols, starts, lengths)
+
+    def _blocks(self, symbols, starts, lengths):
+        """Two neighbouring symbols of a window's length each, with what stands between them: every window that
+        isn't at the edge of a shared passage lies in such a block."""
+        whole = np.flatnonzero(lengths >= self.window)
+        a, b = whole[:-1], whole[1:]
+        same = self.owner[starts[a]] == self.owner[starts[b]]
+        a, b = a[same], b[same]
+        place = np.arange(len(symbols))
+        last = np.maximum.accumulate(np.where(lengths >= self.window, place, 0))
+        between = np.where(lengths < self.window, mix(symbols * _RUN[0] + (place - last).astype(np.uint64) * _RUN[1]), np.uint64(0))
+        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(between, dtype=np.uint64)))
+        self.blocks = mix(symbols[a] * _BLOCK[0] + (total[b] - total[a + 1]) * _BLOCK[1] + symbols[b] * _BLOCK[2])
+        self.block_starts, self.block_lengths = starts[a], starts[b] + lengths[b] - starts[a]
 
     def _pairs(self, symbols, starts, lengths, n):
         """One round of pairs. Symbols of a window's length take no part any more."""
@@ -178,12 +193,20 @@ def _named(rows: DataFrame, window: int) -> DataFrame:
                 found, doc, block, new_name = found[keep], doc[keep], block[keep], new_name[keep]
                 several = np.repeat(*(lambda at: (np.diff(at) > 1, np.diff(at)))(np.concatenate((np.flatnonzero(new_name), [len(found)]))))
                 kind = np.where(block, np.where(new_name, 1, 3), np.where(several, 2, 0)).astype(np.int32)
-                yield pd.DataFrame({"name": found.view(np.int64), "doc": doc, "kind": kind, "salt": np.where(new_name, 0, doc)})
+                salt = np.where(new_name, 0, doc)
+                by_doc = np.argsort(doc, kind="stable")  # equal ids beside each other compress in the shuffle
+                yield pd.DataFrame({"name": found.view(np.int64)[by_doc], "doc": doc[by_doc], "kind": kind[by_doc], "salt": salt[by_doc]})
 
     return rows.where("doc is not null").mapInPandas(run, "name long, doc long, kind int, salt long")
 
 
-COVER_SCHEMA = "h1 long, h2 long, doc long, d long, start int, count int, known boolean"
+#: h1 and h2 name a window by 95 bits; of a known run, h1 only spreads the rows and h2 is the number of windows.
+COVER_SCHEMA = "h1 long, h2 int, doc long, place long"
+
+
+def short_digest(words: list[bytes]) -> int:
+    """What tells texts of one id apart in a cover."""
+    return _digest(words)[0] & ((1 << _DIGEST_BITS) - 1)
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
@@ -193,6 +216,8 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
         names = WordNames()
         for batch in batches:
             keys, texts, all_anchors, all_blocks = batch["doc"].tolist(), batch["t"].tolist(), batch["anchors"].tolist(), batch["blocks"].tolist()
+            chosen = [i for i, x in enumerate(all_anchors) if x is not None]  # others share nothing
+            keys, texts, all_anchors, all_blocks = ([x[i] for i in chosen] for x in (keys, texts, all_anchors, all_blocks))
             for a, b in chunks(texts, TOGETHER):
                 words = [split_words(t) for t in texts[a:b]]
                 flat, owner, offsets = _flat(names, words)
@@ -213,7 +238,7 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
                         open_[lo:hi] = np.isin(anchors[lo:hi], all_anchors[a + i].astype(np.int64).view(np.uint64))
                 known = (np.cumsum(known[:-1]) > 0) & starts
                 doc_of = np.array(keys[a:b], dtype=np.int64)
-                d_of = np.array([_digest(w)[0] for w in words], dtype=np.int64)
+                d_of = np.array([short_digest(w) for w in words], dtype=np.int64) << _START_BITS
                 at = np.flatnonzero(open_ & starts & ~known)
                 h1, h2 = (np.concatenate((window_names(flat, window, seed), np.zeros(window, dtype=np.uint64)))[at] for seed in (4, 5))
                 # Within the chunk: what a lesser document holds too is known.
@@ -224,19 +249,17 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
                 lowest = doc[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] if len(at) else doc
                 later = doc > lowest
                 known[at[later]] = True
-                at, h1, h2 = at[~later], h1[~later], h2[~later]
+                by_place = np.argsort(at[~later])  # places in order compress in the shuffle
+                at, h1, h2 = at[~later][by_place], h1[~later][by_place], h2[~later][by_place] >> np.uint64(33)
                 # Known windows as runs within a document.
                 edge = np.flatnonzero(known & np.concatenate(([True], ~known[:-1] | (owner[1:] != owner[:-1]))))
                 after = np.flatnonzero(known & np.concatenate((~known[1:] | (owner[1:] != owner[:-1]), [True])))
+                spread = mix(edge.astype(np.uint64) * _PAIR[0] + doc_of[owner[edge]].view(np.uint64) * _PAIR[1])
                 rows_ = np.concatenate((at, edge))
-                count = np.concatenate((np.ones(len(at), dtype=np.int64), after - edge + 1))
-                is_known = np.concatenate((np.zeros(len(at), dtype=bool), np.ones(len(edge), dtype=bool)))
                 own = owner[rows_]
-                spread = mix(edge.astype(np.uint64) * _PAIR[0] + doc_of[owner[edge]].view(np.uint64) * _PAIR[1])
-                yield pd.DataFrame({
-                    "h1": np.concatenate((h1, spread)).view(np.int64), "h2": np.concatenate((h2, np.zeros(len(edge), dtype=np.uint64))).view(np.int64),
-                    "doc": doc_of[own], "d": d_of[own], "start": (rows_ - offsets[own]).astype(np.int32), "count": count.astype(np.int32), "known": is_known,
-                })
+                place = d_of[own] + rows_ - offsets[own]
+                place[len(at) :] += _KNOWN
+                yield pd.DataFrame({"h1": np.concatenate((h1, spread)).view(np.int64), "h2": np.concatenate((h2.astype(np.int32), (after - edge + 1).astype(np.int32))), "doc": doc_of[own], "place": place})
 
     return rows.mapInPandas(run, COVER_SCHEMA)
 
@@ -253,7 +276,7 @@ def kept_words(words: list[bytes], runs: list[tuple[int, int]], window: int = WI
 
 
 def covered_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """doc, covers: runs (d, start, count) of windows that an earlier document holds, for texts whose words have digest d."""
+    """doc, covers: runs of windows that an earlier document holds, as place (first window, and a part of the text's digest) and count."""
     if window < CHAIN + 4:
         raise ValueError(f"a window has {CHAIN + 4} words at least")
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("t"))
@@ -278,12 +301,15 @@ def covered_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         F.collect_set(F.when(F.col("kind").isin(0, 2), F.col("name"))).alias("anchors"),
         F.collect_set(F.when(F.col("kind").isin(1, 3), F.col("name"))).alias("blocks"),
     )
-    # Later copies are settled as a whole; a row that shares an id with one but not its words stays.
-    found = _windows(rows.join(shared, "doc").select("doc", "t", "anchors", "blocks"), window)
+    # An outer join, as the last one is, so that both read one exchange of texts.
+    found = _windows(rows.join(shared, "doc", "left").select("doc", "t", "anchors", "blocks"), window)
     low = F.min("doc").over(Window.partitionBy("h1", "h2"))
-    covers = found.select("doc", "d", "start", "count", "known", low.alias("low")).where("known or doc > low").select("doc", "d", "start", "count")
-    whole = copies.select("doc", F.col("d1").alias("d"), F.lit(0).alias("start"), (F.col("n") - window + 1).cast("int").alias("count"))
-    return covers.unionByName(whole).groupBy("doc").agg(F.collect_list(F.struct("d", "start", "count")).alias("covers"))
+    known = F.col("place") >= _KNOWN
+    covers = found.select("doc", "h2", "place", known.alias("known"), low.alias("low")).where("known or doc > low")
+    covers = covers.select("doc", F.col("place").bitwiseAND(F.lit(_KNOWN - 1)).alias("place"), F.when(F.col("known"), F.col("h2").cast("long")).otherwise(F.lit(1).cast("long")).alias("count"))
+    d = F.col("d1").bitwiseAND(F.lit((1 << _DIGEST_BITS) - 1)) * F.lit(1 << _START_BITS)
+    whole = copies.select("doc", d.alias("place"), (F.col("n") - window + 1).alias("count"))
+    return covers.unionByName(whole).groupBy("doc").agg(F.collect_list(F.struct("place", "count")).alias("covers"))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, keep_untouched: bool = False) -> DataFrame:
@@ -293,24 +319,27 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     """
     columns = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     covers = covered_windows(docs, key, text, window).withColumnRenamed("doc", "__doc")
-    rows = docs.select(*columns)
-    joined = rows.join(covers, F.col(f"`{key}`").cast("long") == F.col("__doc"), "left").drop("__doc")
-    schema = T.StructType([f for f in rows.schema.fields] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    # Without other columns this is the projection that covered_windows shuffles, so one exchange serves both.
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("t"), *[F.col(f"`{c}`").alias(f"__{c}") for c in columns if c not in (key, text)])
+    joined = rows.join(covers, F.col("doc") == F.col("__doc"), "left").drop("__doc")
+    field = {key: "doc", text: "t"}
+    kinds = {f.name: f for f in docs.schema.fields}
+    schema = T.StructType([T.StructField(c, T.LongType() if c == key else kinds[c].dataType) for c in columns] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text)
+            at = batch.schema.get_field_index("t")
             texts, n_words, n_removed = [], [], []
             for t, own in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index("covers")).to_pylist()):
                 words = split_words(t)
                 left = words
                 if own:
-                    d = _digest(words)[0]
-                    left = kept_words(words, [(x["start"], x["count"]) for x in own if x["d"] == d], window)
+                    d = short_digest(words)
+                    left = kept_words(words, [(x["place"] & ((1 << _START_BITS) - 1), x["count"]) for x in own if x["place"] >> _START_BITS == d], window)
                 texts.append(t if keep_untouched and len(left) == len(words) else b" ".join(left).decode("utf-8", "surrogatepass"))
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(left))
-            arrays = [pa.array(texts, batch.schema.field(c).type) if c == text else batch.column(batch.schema.get_field_index(c)) for c in columns]
+            arrays = [pa.array(texts, batch.schema.field(at).type) if c == text else batch.column(batch.schema.get_field_index(field.get(c, f"__{c}"))) for c in columns]
             arrays += [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "n_words", "n_removed"])
 
