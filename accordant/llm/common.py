@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accordant.plans.materialise import materialise, shared_folder  # noqa: F401  the operators take them from here
 from accordant.plans.shipping import ship
 
 #: Characters of text that a Python worker expands into word objects at once.
@@ -19,21 +19,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where that is unset (tests) a temporary one."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="accordant-checkpoints-"))
-    return context.getCheckpointDir()
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def ascii_lower(column):
     """Lower-case A-Z alone; lower() would touch other alphabets too."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -35,8 +35,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from accordant.operators.graph import components
+
 from .common import LOWER_TABLE, chunks, materialise
-from .components import components
 from .word_hashes import WordNames, mix, window_names
 
 WIDTH, PERCENT = 5, 75
@@ -182,8 +183,11 @@ def _postings(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
     return docs.where("doc is not null").mapInPandas(run, "token long, doc long")
 
 
-def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
-    """Component of each set (the least index in it), by T-occurrence search over all of them."""
+def link_sets(sets: list[np.ndarray], percent: int = PERCENT, known: list | None = None) -> np.ndarray:
+    """Component of each set (the least index in it), by T-occurrence search over all of them.
+
+    `known` holds a label for each set; sets of one label are one component already.
+    """
     g = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     parent = np.arange(g)
@@ -197,6 +201,9 @@ def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
         a, b = sorted((find(i), find(j)))
         parent[b] = a
 
+    first_of: dict = {}
+    for i, label in enumerate(known or ()):
+        union(first_of.setdefault(label, i), i)
     flat = np.concatenate(sets) if g else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(g), sizes)
     _, token = np.unique(flat, return_inverse=True)
@@ -207,7 +214,7 @@ def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     # The first set's lists, and those of the first sets left over, are merged as a whole: that joins groups
     # of copies early, and what is one component already need not be searched for again.
     pivots, tried = 0, np.zeros(g, dtype=bool)
-    while pivots < (16 if g > 64 else 1):
+    while pivots < (0 if known else 16 if g > 64 else 1):
         roots = np.array([find(i) for i in range(g)]) if pivots else parent
         rest = np.flatnonzero(~tried & ((roots != roots[0]) if pivots else True))
         if not len(rest):
@@ -257,30 +264,31 @@ def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
 
 
 def _search_cells(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) that hold the components of each cell together. members: cell, doc, n; texts: doc, t."""
+    """Links (a, b) that hold the components of each cell together. members: cell, doc, n, label; texts: doc, t."""
     weight = members.groupBy("cell").agg(F.sum("n").alias("total"), F.count("*").alias("m")).where("m > 1")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(CELL_SHINGLES)).cast("int"))
     # A cell's blocks meet in pairs: a member of block x goes to every pair (x, y).
     cut = members.join(weight.select("cell", blocks.alias("blocks")), "cell").withColumn("x", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    cut = cut.withColumn("y", F.explode(F.expr("sequence(0, blocks - 1)"))).select("cell", "doc", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
+    cut = cut.withColumn("y", F.explode(F.expr("sequence(0, blocks - 1)"))).select("cell", "doc", "label", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
     rows = cut.join(texts, "doc").repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "doc")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, now, ids, sets = Shingler(width), None, [], []
+        shingler, now, ids, sets, labels = Shingler(width), None, [], [], []
         out: list[tuple[int, int]] = []
 
         def close() -> None:
-            roots = link_sets(sets, percent)
+            roots = link_sets(sets, percent, labels if len(set(labels)) < len(labels) else None)
             out.extend((ids[i], ids[int(r)]) for i, r in enumerate(roots.tolist()) if r != i)
 
         for batch in batches:
-            cells, docs_, texts_ = list(zip(batch["cell"].tolist(), batch["low"].tolist(), batch["high"].tolist())), batch["doc"].tolist(), batch["t"].tolist()
+            cells, docs_, texts_, of = list(zip(batch["cell"].tolist(), batch["low"].tolist(), batch["high"].tolist())), batch["doc"].tolist(), batch["t"].tolist(), batch["label"].tolist()
             for a, b in chunks(texts_):
-                for cell, doc, own in zip(cells[a:b], docs_[a:b], shingler.sets(texts_[a:b])):
+                for cell, doc, label, own in zip(cells[a:b], docs_[a:b], of[a:b], shingler.sets(texts_[a:b])):
                     if cell != now:
                         close()
-                        now, ids, sets = cell, [], []
+                        now, ids, sets, labels = cell, [], [], []
                     ids.append(doc)
+                    labels.append(label)
                     sets.append(own)
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
@@ -288,7 +296,7 @@ def _search_cells(members: DataFrame, texts: DataFrame, width: int, percent: int
         close()
         yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return rows.select("cell", "low", "high", "doc", "t").mapInPandas(run, "a long, b long")
+    return rows.select("cell", "low", "high", "doc", "label", "t").mapInPandas(run, "a long, b long")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, ranked: int = RANKED) -> DataFrame:
@@ -316,13 +324,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     members = members.join(lone, "cell", "left_anti")
 
     texts = materialise(rows.join(members.select("doc").distinct(), "doc", "left_semi").groupBy("doc").agg(F.max("t").alias("t")))
-    once = members.groupBy("doc").agg(F.min("cell").alias("cell"), F.max("n").alias("n"))
+    once = members.groupBy("doc").agg(F.min("cell").alias("cell"), F.max("n").alias("n")).withColumn("label", F.col("doc"))
     links = materialise(_search_cells(once, texts, width, percent))
     label = components(links)
     # A cell that is one component by now has nothing more to link.
     now = members.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     open_ = now.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cell")
-    more = materialise(_search_cells(members.join(open_, "cell", "left_semi"), texts, width, percent))
+    more = materialise(_search_cells(now.select("cell", "doc", "n", "label").join(open_, "cell", "left_semi"), texts, width, percent))
 
     # Ids that hold several classes tie those together.
     several = classes.groupBy("doc").agg(F.min("first").alias("b"), F.max("first").alias("high")).where("b <> high").select("doc", "b")
