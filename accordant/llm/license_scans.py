@@ -120,7 +120,8 @@ def document_frequencies(docs: DataFrame, vocabulary: set[str], text: str = "tex
             for value in batch["t"]:
                 for w in vocabulary.intersection(words_of(value)):
                     counts[w] = counts.get(w, 0) + 1
-        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())}, columns=["word", "n"])
+        if counts:
+            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t")).mapInPandas(run, "word string, n long")
     return {r["word"]: r["n"] for r in rows.groupBy("word").agg(F.sum("n").alias("n")).collect()}

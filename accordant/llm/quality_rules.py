@@ -9,7 +9,7 @@ DataFrame operations only: no Python on the executors.
 Defined results: a null or empty text has no words, so it fails the base rules and scores 0; a
 text of one word has one n-gram; repeated rows are scored each; an empty table gives no rows; without any
 trusted row every document scores 0 and only the base rules decide. Other columns pass through
-untouched where `keep_columns` is set, and are not looked at.
+kept_documents untouched, whatever their names, and are not looked at.
 """
 
 from __future__ import annotations
@@ -81,22 +81,30 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", tex
     return whole.select(F.expr(f"transform(each, x -> cast({weight} as double))").alias("weights"))
 
 
-def score_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", keep_columns: bool = False, threshold: float = THRESHOLD, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    """The key (or all columns of `docs`), the base statistics, base_failed, score and kept."""
+STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def _scored(docs: DataFrame, trusted: DataFrame, key: str, text: str, own: list[str], threshold: float, buckets: int, trusted_rows: int) -> DataFrame:
+    """`own` columns as one struct, the statistics, score and kept."""
     weights = bucket_weights(docs, trusted, key, text, buckets, trusted_rows)
-    own = docs.columns if keep_columns else [key]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("own"), F.col(f"`{text}`").alias("t"))
     rows = base_statistics(rows, "t").withColumn("grams", F.expr(grams_of("words", buckets))).withColumn("weights", weights.scalar())
     rows = rows.withColumn("score", F.expr("case when size(grams) = 0 then 0D else aggregate(grams, 0D, (a, b) -> a + weights[b]) / size(grams) end"))
     kept = ~F.col("base_failed") & (F.col("score") >= threshold)
-    return rows.select("own.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.round("score", 6).alias("score"), kept.alias("kept"))
+    return rows.select("own", *STATISTICS, F.round("score", 6).alias("score"), kept.alias("kept"))
+
+
+def score_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+    """The key, the base statistics, base_failed, score and kept of every row."""
+    rows = _scored(docs, trusted, key, text, [key], threshold, buckets, trusted_rows)
+    return rows.select(F.col(f"own.`{key}`").alias(key), *STATISTICS, "score", "kept")
 
 
-def kept_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of `docs` that score_documents keeps.
+def kept_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+    """The rows of `docs` that score_documents keeps, as they are.
 
     A random column beside the verdict, always at least 0, keeps the optimizer from pushing the
     filter below the projections, where it would repeat their arrays once for every reference.
     """
-    scored = score_documents(docs, trusted, key, text, keep_columns=True, **options).withColumn("__barrier", F.rand(0))
-    return scored.where(F.col("kept") & (F.col("__barrier") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = _scored(docs, trusted, key, text, docs.columns, threshold, buckets, trusted_rows).withColumn("barrier", F.rand(0))
+    return rows.where(F.col("kept") & (F.col("barrier") >= 0)).select("own.*")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from accordant.llm import best_fit_packing, ngram_jaccard, quality_rules, secret_scans, substring_dedup
 from accordant.llm.common import read, shared_folder
 from accordant.llm.queries import tokenizer_file
+from accordant.plans.shipping import ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -26,6 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents the least id stays, once; a row without an id stays."""
+    ship(spark)
     docs = docs.select(*COLUMNS)
     later = ngram_jaccard.join(docs).where("component_id < doc_id").select("doc_id").distinct()
     kept = docs.where("doc_id is not null").join(later, "doc_id", "left_anti")
@@ -35,13 +37,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that an earlier document holds go; a document left without words goes, one that loses none stays as it was."""
-    done = substring_dedup.dedup(docs.select(*COLUMNS), keep_untouched=True)
-    left = done.where("n_removed = 0 or n_removed < n_words")
-    return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    ship(spark)
+    docs = docs.select(*COLUMNS)
+    # Texts move alone, so that one exchange serves both of the operator's joins; the other columns are small and
+    # joined by id (repeated rows take the least ones). Rows without an id lose nothing.
+    small = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("lang", "source", "n_chars")).alias("x"))
+    done = substring_dedup.dedup(docs.where("doc_id is not null").select("doc_id", "text"), keep_untouched=True)
+    left = done.where("n_removed = 0 or n_removed < n_words").join(small.select("doc_id", "x.*"), "doc_id")
+    left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    return left.unionByName(docs.where("doc_id is null"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; every document stays."""
+    ship(spark)
     done = secret_scans.redact_documents(docs.select(*COLUMNS, F.col("n_chars").alias("before")))
     changed = done.withColumn("n_chars", F.when(F.col("text").contains(secret_scans.MARK), F.length("text").cast("long")).otherwise(F.col("before")))
     return changed.select(*COLUMNS)
@@ -49,6 +58,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document and their places in training sequences."""
+    ship(spark)
     return best_fit_packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
