@@ -45,7 +45,7 @@ WINDOW = 13
 CHAIN = 5
 ROUNDS = 14
 #: Characters whose names are aggregated together in a worker.
-TOGETHER = 6_000_000
+TOGETHER = 4_000_000
 _TOP = np.iinfo(np.uint64).max
 _PAIR, _RUN, _COIN, _BLOCK = factors(3, 21), factors(3, 22), factors(ROUNDS + 1, 23), factors(3, 24)
 #: A cover in one long: whether it is known, a part of the text's digest, the first window.
