@@ -29,7 +29,7 @@ from .common import chunks
 BLANK = "▁"
 _WORD = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 #: Distinct words a worker remembers at most.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -186,7 +186,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         model, cache = load(path), cache_of(path)
         for batch in batches:
             texts, keys = batch["t"].tolist(), batch["key"].astype("Int64")
-            for a, b in chunks(texts, 8_000_000):
+            for a, b in chunks(texts):
                 yield pd.DataFrame({"key": keys[a:b], "ids": [np.array(x, dtype=np.int32) for x in encode_texts(model, texts[a:b], cache)]})
 
     made = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t")).mapInPandas(run, "key long, ids array<int>")
