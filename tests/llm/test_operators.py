@@ -252,6 +252,18 @@ def test_secret_scans(spark, texts):
     assert secret_scans.find_secrets(clean.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["AccountKey=", "AWS_KEY=", "?sig=", "--auth=", "x==", "a_name_of_more_than_20_characters="])
+def test_secrets_behind_an_equals_sign_are_tested(spark, name):
+    rng = random.Random(8)
+    keys = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n)) for n in (40, 86)]
+    rows = spark.createDataFrame([(0, f"see {name}{keys[0]} here"), (1, f"see {name}{keys[1]}==;x=y")], "doc_id long, text string")
+    at = 4 + len(name)
+    found = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in secret_scans.find_secrets(rows).collect()}
+    assert found == {0: [("random", at, at + 40)], 1: [("random", at, at + 88)]}
+    masked = {r.doc_id: r.text for r in secret_scans.redact_documents(rows).collect()}
+    assert masked == {0: f"see {name}[secret] here", 1: f"see {name}[secret];x=y"}
+
+
 @pytest.fixture(scope="module")
 def tokenizers():
     return pytest.importorskip("public_tokenizers")
