@@ -10,6 +10,9 @@ made on the driver in time and space that don't grow with the corpus: bins of on
 class with a number of bins. Executors give each piece its rank among those of its length, by salt
 so that no common length gathers in one task, and look up the class that holds that rank.
 
+Pieces carry their ids all the way: between tasks in two bytes each where a piece's ids fit, in what
+`pack` returns as little-endian unsigned 32-bit bytes. `sequences` puts those of each sequence together.
+
 Defined results: a null or empty text is the separator alone, one piece; repeated rows are packed
 each; pieces of one length take their places in order of salt, key and piece; an empty table gives
 no rows. Other columns are not looked at.
@@ -26,6 +29,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +47,18 @@ _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 #: Parts that a worker remembers; the older half, which holds the common ones, outlives the newer.
 CACHED_PARTS = 400_000
 
-PIECES = "key long, piece int, start long, length int, ids_crc32 long"
+PIECES = "key long, piece int, start long, length int, ids_crc32 long, ids binary"
+
+
+def narrow(data: bytes) -> bytes:
+    """Ids of four bytes in two each, where all of them fit."""
+    ids = np.frombuffer(data, dtype="<u4")
+    return ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else data
+
+
+def widen(data: bytes, length: int) -> bytes:
+    """What `narrow` was given, of so many ids."""
+    return np.frombuffer(data, dtype="<u2").astype("<u4").tobytes() if len(data) == 2 * length else data
 
 
 class PartEncoder:
@@ -93,7 +108,7 @@ def load(path: str) -> PartEncoder:
 
 
 def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
-    """The pieces (PIECES) of each row's ids and the separator."""
+    """The pieces (PIECES) of each row's ids and the separator; their ids as `narrow` leaves them, their checksums of four bytes an id."""
     end = np.array([separator], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,9 +122,10 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                     start, piece = 0, 0
                     while start < n:
                         length = (n - start) % capacity or capacity
-                        rows.append((key_, piece, start, length, zlib.crc32(data[4 * start : 4 * (start + length)])))
+                        own = data[4 * start : 4 * (start + length)]
+                        rows.append((key_, piece, start, length, zlib.crc32(own), narrow(own)))
                         start, piece = start + length, piece + 1
-            out = pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids_crc32"])
+            out = pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids_crc32", "ids"])
             yield out.astype({"key": "Int64"})
 
     return docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t")).mapInPandas(run, PIECES)
@@ -187,7 +203,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
 
 
 def pack(found: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
-    """`found` (PIECES) with sequence_id and offset.
+    """`found` (PIECES) with ids of four bytes each, sequence_id and offset.
 
     `found` is read twice, so it should be materialised.
     """
@@ -214,11 +230,32 @@ def pack(found: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Data
              else struct(s.low as low, cast((s.low + s.high) div 2 as int) as high) end, s -> places[s.low])"""
     at = ranked.withColumn("place", F.expr(bisect))
     step = F.expr("rank - place.p_rank")
-    return at.select("key", "piece", "start", "length", "ids_crc32", F.expr("place.p_bin + (rank - place.p_rank) div place.p_each").alias("sequence_id"), (F.col("place.p_offset") + F.pmod(step, F.col("place.p_each")) * F.col("length")).alias("offset"))
+    at = at.select("key", "piece", "start", "length", "ids", "ids_crc32", F.expr("place.p_bin + (rank - place.p_rank) div place.p_each").alias("sequence_id"), (F.col("place.p_offset") + F.pmod(step, F.col("place.p_each")) * F.col("length")).alias("offset"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [widen(data, n) for data, n in zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist())]
+            yield batch.set_column(batch.schema.get_field_index("ids"), batch.schema.field("ids"), pa.array(ids, batch.schema.field("ids").type))
+
+    return at.mapInArrow(run, at.schema)
 
 
 def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
-    """key, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
+    """key, piece, start, length, ids, ids_crc32, sequence_id, offset of every piece."""
     found = materialise(pieces(docs, path, key, text, capacity, separator))
     packed = pack(found, capacity)
-    return packed.select(F.col("key").alias(key), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+    return packed.select(F.col("key").alias(key), "piece", "start", F.col("length").cast("long").alias("length"), "ids", "ids_crc32", "sequence_id", "offset")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """sequence_id, n_pieces, length and ids (array<long>) of every sequence, its pieces beside each other by offset."""
+    own = F.sort_array(F.collect_list(F.struct("offset", "length", "ids")))
+    whole = packed.groupBy("sequence_id").agg(own.alias("own"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [np.frombuffer(b"".join(x["ids"] for x in own), dtype="<u4").astype(np.int64) for own in batch.column("own").to_pylist()]
+            counts = [len(own) for own in batch.column("own")]
+            yield pa.RecordBatch.from_arrays([batch.column("sequence_id"), pa.array(counts, pa.int32()), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int64()))], names=["sequence_id", "n_pieces", "length", "ids"])
+
+    return whole.mapInArrow(run, "sequence_id long, n_pieces int, length long, ids array<long>")

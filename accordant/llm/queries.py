@@ -78,7 +78,8 @@ def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit_packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    packed = best_fit_packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_license_scans, op3_chat_formatting, op4_quality_rules, op5_hash_forest, op6_url_filters, op7_substring_dedup, op8_secret_scans, op9_piece_encoding, op10_best_fit_packing)}

@@ -318,6 +318,33 @@ def test_best_fit_packing(spark, texts, tokenizers):
     assert best_fit_packing.pack_documents(df.limit(0), path).count() == 0
 
 
+def test_ids_narrow_and_widen():
+    for ids in ([], [0], [1, 65535], [1, 65536], [2**32 - 1] * 3):
+        data = np.array(ids, dtype="<u4").tobytes()
+        assert best_fit_packing.widen(best_fit_packing.narrow(data), len(ids)) == data
+
+
+def test_packed_sequences_hold_the_ids(spark, texts, tokenizers):
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    packed = best_fit_packing.pack_documents(df, path, capacity=256).persist()
+    rows = packed.collect()
+    made = {r.sequence_id: r for r in best_fit_packing.sequences(packed).collect()}
+    assert set(made) == {r.sequence_id for r in rows} and sum(r.n_pieces for r in made.values()) == len(rows)
+    assert all(r.length == len(r.ids) <= 256 for r in made.values())
+    back = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        own = np.frombuffer(bytes(r.ids), dtype="<u4").tolist()
+        assert made[r.sequence_id].ids[r.offset : r.offset + r.length] == own and r.ids_crc32 == zlib.crc32(bytes(r.ids))
+        back.setdefault(r.doc_id, []).extend(own)
+    assert back == {i: library.encode(t or "", add_special_tokens=False).ids + [0] for i, t in texts}
+    assert best_fit_packing.sequences(packed.limit(0)).count() == 0
+    packed.unpersist()
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plans_place_every_piece_once(seed):
     rng = random.Random(seed)
