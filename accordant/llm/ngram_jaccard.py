@@ -11,13 +11,14 @@ class, and only its first goes on. The same pass counts shingles, whose most fre
 list) rank last in the global order. (2) By the prefix filter, linked sets share k of
 their first n - T + k shingles in that order; sets that share fewer with all others together are
 done. Classes that share one meet in a cell, named by the least of them; any linked pair shares a
-cell. (3) Texts are sent to cells, first each class to one cell
-only, then to those cells that are not one component already. A cell beyond a size is cut into
-blocks, all pairs of which meet in bounded tasks. (4) In a cell the T-occurrence search runs over
-the whole sets. Links become components by contraction.
+cell. (3) Texts are sent to all their cells. A cell beyond a size is cut into
+blocks, all pairs of which meet in bounded tasks. (4) In a cell the T-occurrence search finds every
+link over the whole sets; the least cell that both ends share tells it, so it is told once. `pairs`
+returns the links themselves; `join` counts them where they are found, since their number
+grows with the square of a group, and sends on those that hold a cell's components together, which
+become components by contraction.
 
-Only pairs whose ends are already in one component are passed over, so no link between components
-is lost; nothing is capped or sampled.
+Every link between classes is found; nothing is passed over, capped or sampled.
 
 Defined results: a null or empty text, or one without words, has an empty set and links with
 nothing; a shorter text than a shingle is one shingle; repeated rows are one document; rows that
@@ -183,124 +184,142 @@ def _postings(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
     return docs.where("doc is not null").mapInPandas(run, "token long, doc long")
 
 
-def link_sets(sets: list[np.ndarray], percent: int = PERCENT, known: list | None = None) -> np.ndarray:
-    """Component of each set (the least index in it), by T-occurrence search over all of them.
-
-    `known` holds a label for each set; sets of one label are one component already.
-    """
+def links_of(sets: list[np.ndarray], percent: int = PERCENT) -> Iterator[tuple[int, np.ndarray]]:
+    """The index of each set with later links, and the indices of all later sets that it links to, by T-occurrence search."""
     g = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    parent = np.arange(g)
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    def union(i: int, j: int) -> None:
-        a, b = sorted((find(i), find(j)))
-        parent[b] = a
-
-    first_of: dict = {}
-    for i, label in enumerate(known or ()):
-        union(first_of.setdefault(label, i), i)
     flat = np.concatenate(sets) if g else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(g), sizes)
     _, token = np.unique(flat, return_inverse=True)
     order = np.lexsort((owner, token))  # inverted lists: the owners of each token, in order
-    lists, starts = owner[order], np.concatenate(([0], np.cumsum(np.bincount(token))))
+    lists, ends = owner[order], np.cumsum(np.bincount(token))
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)  # moved on past each owner, so that lists hold later sets alone
     offsets = np.concatenate(([0], np.cumsum(sizes)))
-
-    # The first set's lists, and those of the first sets left over, are merged as a whole: that joins groups
-    # of copies early, and what is one component already need not be searched for again.
-    pivots, tried = 0, np.zeros(g, dtype=bool)
-    while pivots < (0 if known else 16 if g > 64 else 1):
-        roots = np.array([find(i) for i in range(g)]) if pivots else parent
-        rest = np.flatnonzero(~tried & ((roots != roots[0]) if pivots else True))
-        if not len(rest):
-            break
-        i = int(rest[0])
-        tried[i] = True
-        mine = token[offsets[i] : offsets[i + 1]]
-        hits = np.bincount(np.concatenate([lists[starts[t] : starts[t + 1]] for t in mine]) if len(mine) else np.empty(0, np.int64), minlength=g)
-        for j in np.flatnonzero(reaches(hits, sizes[i], sizes, percent) & (hits > 0)):
-            union(i, int(j))
-        pivots += 1
-    roots = np.array([find(i) for i in range(g)])
-    if g == 0 or (roots == roots[0]).all():
-        return roots
-
-    # Lists within one component can't name a document of another: they are left out from here on.
-    rooted = roots[lists]
-    mixed = np.minimum.reduceat(rooted, starts[:-1]) != np.maximum.reduceat(rooted, starts[:-1])
-    largest = np.bincount(roots).argmax()  # a link between components has an end outside the largest
-    lengths = np.diff(starts)
-    for i in np.flatnonzero((roots != largest) & ~tried).tolist():
+    for i in range(g):
         mine = token[offsets[i] : offsets[i + 1]]
-        mine = mine[mixed[mine]]
+        starts[mine] += 1
+        lengths = ends[mine] - starts[mine]
+        mine, lengths = mine[lengths > 0], lengths[lengths > 0]
         t = needed(int(sizes[i]), percent)
-        if len(mine) < t:
+        if t == 0 or len(mine) < t:
             continue
-        mine = mine[np.argsort(lengths[mine], kind="stable")]
+        mine = mine[np.argsort(lengths, kind="stable")]
         # DivideSkip: as many long lists as its rule of thumb says, always fewer than T.
-        longest = max(2, int(lengths[mine[-1]]))
+        longest = max(2, int(lengths.max()))
         apart = min(t - 1, int(t / (0.0085 * np.log2(longest) + 1)))
         short, long = mine[: len(mine) - apart], mine[len(mine) - apart :]
-        found, counts = np.unique(np.concatenate([lists[starts[x] : starts[x + 1]] for x in short]), return_counts=True)
-        keep = (counts >= t - len(long)) & (found != i)
+        found, counts = np.unique(np.concatenate([lists[starts[x] : ends[x]] for x in short]), return_counts=True)
+        keep = counts >= t - len(long)
         found, counts = found[keep], counts[keep]
-        here = find(i)
-        other = np.array([find(int(j)) != here for j in found], dtype=bool)
-        found, counts = found[other], counts[other]
-        for x in long:  # bisection for the few that are left
-            if not len(found):
-                break
-            own = lists[starts[x] : starts[x + 1]]
-            at = np.minimum(np.searchsorted(own, found), len(own) - 1)
-            counts = counts + (own[at] == found)
-        for j in found[reaches(counts, sizes[i], sizes[found], percent)].tolist():
-            union(i, j)
-    return np.array([find(i) for i in range(g)])
-
-
-def _search_cells(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) that hold the components of each cell together. members: cell, doc, n, label; texts: doc, t."""
+        if 4 * len(found) * len(long) > lengths.sum():  # so many are left that the long lists are merged, too
+            counts = np.bincount(np.concatenate([lists[starts[x] : ends[x]] for x in mine]), minlength=g)[found]
+        else:
+            for x in long:  # bisection for the few that are left
+                if not len(found):
+                    break
+                own = lists[starts[x] : ends[x]]
+                at = np.minimum(np.searchsorted(own, found), len(own) - 1)
+                counts = counts + (own[at] == found)
+        found = found[reaches(counts, sizes[i], sizes[found], percent)]
+        if len(found):
+            yield i, found
+
+
+class Joined:
+    """Components of what is linked: the root of each is its least index."""
+
+    def __init__(self, g: int):
+        self.parent = np.arange(g)
+
+    def find(self, i: int) -> int:
+        parent = self.parent
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return int(i)
+
+    def link(self, i: int, others: np.ndarray) -> None:
+        for j in others[self.parent[others] != self.find(i)].tolist():
+            a, b = sorted((self.find(i), self.find(j)))
+            self.parent[b] = a
+        self.parent[others] = self.find(i)
+
+    def roots(self) -> np.ndarray:
+        return np.array([self.find(i) for i in range(len(self.parent))], dtype=np.int64)
+
+
+def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """Component of each set: the least index in it."""
+    joined = Joined(len(sets))
+    for i, others in links_of(sets, percent):
+        joined.link(i, others)
+    return joined.roots()
+
+
+FOUND_SCHEMA = "a long, b long, n long"
+
+
+def _search_cells(members: DataFrame, texts: DataFrame, width: int, percent: int, every: bool = False) -> DataFrame:
+    """FOUND_SCHEMA: links (a, b) that hold the components of each cell together, and (a, null, n) with links that a has
+    in a cell; or, for `every`, each link once, a below b. members: cell, doc, n; texts: doc, t."""
     weight = members.groupBy("cell").agg(F.sum("n").alias("total"), F.count("*").alias("m")).where("m > 1")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(CELL_SHINGLES)).cast("int"))
+    of = members.groupBy("doc").agg(F.sort_array(F.collect_set("cell")).alias("cells"))
     # A cell's blocks meet in pairs: a member of block x goes to every pair (x, y).
     cut = members.join(weight.select("cell", blocks.alias("blocks")), "cell").withColumn("x", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    cut = cut.withColumn("y", F.explode(F.expr("sequence(0, blocks - 1)"))).select("cell", "doc", "label", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
-    rows = cut.join(texts, "doc").repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "doc")
+    cut = cut.withColumn("y", F.explode(F.expr("sequence(0, blocks - 1)"))).select("cell", "doc", "x", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
+    rows = cut.join(texts.join(of, "doc"), "doc").repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "doc")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, now, ids, sets, labels = Shingler(width), None, [], [], []
-        out: list[tuple[int, int]] = []
-
-        def close() -> None:
-            roots = link_sets(sets, percent, labels if len(set(labels)) < len(labels) else None)
-            out.extend((ids[i], ids[int(r)]) for i, r in enumerate(roots.tolist()) if r != i)
+        shingler, now, ids, sets, of, xs = Shingler(width), None, [], [], [], []
+
+        def close() -> Iterator[pd.DataFrame]:
+            if len(sets) < 2:
+                return
+            doc, block = np.array(ids, dtype=np.int64), np.array(xs)
+            kinds = {cells: k for k, cells in enumerate(dict.fromkeys(of))}
+            kind, told_here = np.array([kinds[cells] for cells in of]), {}
+            joined, n = Joined(len(sets)), np.zeros(len(sets), dtype=np.int64)
+            for i, others in links_of(sets, percent):
+                joined.link(i, others)
+                if of[i] not in told_here:  # by the other end's cells: is this the least that both share
+                    own = set(of[i])
+                    told_here[of[i]] = np.array([min(own.intersection(cells)) == now[0] for cells in kinds])
+                once = told_here[of[i]][kind[others]]
+                if now[1] != now[2]:  # links within a block are told where it meets itself
+                    once &= block[others] != block[i]
+                others = others[once]
+                n[i] += len(others)
+                n[others] += 1
+                if every and len(others):
+                    yield frame(np.minimum(doc[i], doc[others]), np.maximum(doc[i], doc[others]), None)
+            if not every:
+                roots = joined.roots()
+                tied, linked = np.flatnonzero(roots != np.arange(len(roots))), np.flatnonzero(n)
+                yield frame(doc[tied], doc[roots[tied]], None)
+                yield frame(doc[linked], None, n[linked])
+
+        def frame(a, b, n) -> pd.DataFrame:
+            return pd.DataFrame({"a": a, "b": b, "n": n}).astype("Int64")
 
         for batch in batches:
-            cells, docs_, texts_, of = list(zip(batch["cell"].tolist(), batch["low"].tolist(), batch["high"].tolist())), batch["doc"].tolist(), batch["t"].tolist(), batch["label"].tolist()
+            keys = list(zip(batch["cell"].tolist(), batch["low"].tolist(), batch["high"].tolist()))
+            docs_, texts_, cells_, xs_ = batch["doc"].tolist(), batch["t"].tolist(), batch["cells"].tolist(), batch["x"].tolist()
             for a, b in chunks(texts_):
-                for cell, doc, label, own in zip(cells[a:b], docs_[a:b], of[a:b], shingler.sets(texts_[a:b])):
-                    if cell != now:
-                        close()
-                        now, ids, sets, labels = cell, [], [], []
+                for key, doc, cells, x, own in zip(keys[a:b], docs_[a:b], cells_[a:b], xs_[a:b], shingler.sets(texts_[a:b])):
+                    if key != now:
+                        yield from close()
+                        now, ids, sets, of, xs = key, [], [], [], []
                     ids.append(doc)
-                    labels.append(label)
                     sets.append(own)
-            if out:
-                yield pd.DataFrame(out, columns=["a", "b"])
-                out.clear()
-        close()
-        yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+                    of.append(tuple(cells))
+                    xs.append(x)
+        yield from close()
 
-    return rows.select("cell", "low", "high", "doc", "label", "t").mapInPandas(run, "a long, b long")
+    return rows.select("cell", "low", "high", "doc", "x", "cells", "t").mapInPandas(run, FOUND_SCHEMA)
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, ranked: int = RANKED) -> DataFrame:
-    """`key`, n_shingles, component_id and class_id (the least id of an equal set) of every row."""
+def _meet(docs: DataFrame, key: str, text: str, width: int, percent: int, ranked: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Documents (doc, n), classes (doc, first, n), members of cells (cell, doc, n) and their texts (doc, t)."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
     named = materialise(_name_sets(rows, width))
     found = named.where("n >= 0").select("doc", "n", "d1", "d2")
@@ -324,19 +343,31 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     members = members.join(lone, "cell", "left_anti")
 
     texts = materialise(rows.join(members.select("doc").distinct(), "doc", "left_semi").groupBy("doc").agg(F.max("t").alias("t")))
-    once = members.groupBy("doc").agg(F.min("cell").alias("cell"), F.max("n").alias("n")).withColumn("label", F.col("doc"))
-    links = materialise(_search_cells(once, texts, width, percent))
-    label = components(links)
-    # A cell that is one component by now has nothing more to link.
-    now = members.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    open_ = now.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("cell")
-    more = materialise(_search_cells(now.select("cell", "doc", "n", "label").join(open_, "cell", "left_semi"), texts, width, percent))
+    return found, classes, members, texts
+
+
+def pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, ranked: int = RANKED) -> DataFrame:
+    """Every link between classes once: a and b, the least ids of two different sets that link, a below b."""
+    _, _, members, texts = _meet(docs, key, text, width, percent, ranked)
+    return _search_cells(members, texts, width, percent, every=True).select("a", "b")
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, ranked: int = RANKED) -> DataFrame:
+    """`key`, n_shingles, component_id, class_id (the least id of an equal set) and n_links of every row.
+
+    n_links is the number of classes that the row's class links to (all classes of its id together).
+    """
+    found, classes, members, texts = _meet(docs, key, text, width, percent, ranked)
+    searched = materialise(_search_cells(members, texts, width, percent))
+    links = searched.where("b is not null").select("a", "b")
+    counts = searched.where("n is not null").groupBy(F.col("a").alias("first")).agg(F.sum("n").alias("links"))
 
     # Ids that hold several classes tie those together.
     several = classes.groupBy("doc").agg(F.min("first").alias("b"), F.max("first").alias("high")).where("b <> high").select("doc", "b")
     tied = classes.join(several, "doc").select(F.col("first").alias("a"), "b")
-    label = components(links.unionByName(more).unionByName(tied))
-    of = classes.groupBy("doc").agg(F.min("first").alias("class_id")).join(label.withColumnRenamed("node", "class_id"), "class_id", "left")
-    of = of.select("doc", "class_id", F.coalesce("label", "class_id").alias("component_id"))
+    label = components(links.unionByName(tied))
+    classes = classes.join(counts, "first", "left")
+    of = classes.groupBy("doc").agg(F.min("first").alias("class_id"), F.sum(F.coalesce("links", F.lit(0))).alias("n_links")).join(label.withColumnRenamed("node", "class_id"), "class_id", "left")
+    of = of.select("doc", "class_id", F.coalesce("label", "class_id").alias("component_id"), "n_links")
     out = found.select("doc", "n").join(of, "doc", "left")
-    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"), F.coalesce("class_id", "doc").alias("class_id"))
+    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"), F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

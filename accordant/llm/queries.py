@@ -23,7 +23,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard.join(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return ngram_jaccard.join(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

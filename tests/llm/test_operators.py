@@ -79,6 +79,24 @@ def test_ngram_jaccard(docs, texts, empty):
     assert ngram_jaccard.join(empty).count() == 0
 
 
+@pytest.mark.parametrize("cell", [4_000_000, 60])
+def test_every_link_is_found_once(spark, docs, texts, monkeypatch, cell):
+    monkeypatch.setattr(ngram_jaccard, "CELL_SHINGLES", cell)
+    base = [f"v{i}" for i in range(80)]
+    group = [(500 + i, " ".join(base[:i] + [f"new{i}"] + base[i + 1 :])) for i in range(2, 78, 6)]  # all link to one another or nearly so
+    first = {}
+    for i, t in texts + group:
+        if shingles(t):
+            first.setdefault(frozenset(shingles(t)), i)
+    wanted = {(a, b) for s, a in first.items() for t, b in first.items() if a < b and 100 * len(s & t) >= 75 * len(s | t)}
+    assert sum(a >= 500 for a, _ in wanted) > 2 * len(group)
+    both = docs.unionByName(spark.createDataFrame([(i, t, 0, "x") for i, t in group], DOCS))
+    assert sorted((r.a, r.b) for r in ngram_jaccard.pairs(both).collect()) == sorted(wanted)
+    own = Counter(x for pair in wanted for x in pair)
+    for r in ngram_jaccard.join(both).where("doc_id is not null").collect():
+        assert r.n_links == own[first.get(frozenset(shingles(dict(texts + group)[r.doc_id])))], r
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_t_occurrence_search_in_one_large_cell(seed):
     rng = np.random.default_rng(seed)
