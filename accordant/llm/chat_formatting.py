@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .best_fit_packing import load
+
 START, END = "<|im_start|>", "<|im_end|>"
 #: Strings that a tokenizer may read as control, whether this template uses them or not.
 CONTROL = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|startoftext|>", "<s>", "</s>", "<unk>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
@@ -53,9 +55,18 @@ def render(role: str, text: str) -> tuple[str, int, int]:
     return f"{head}{body}{END}\n", len(head), len(head) + len(body)
 
 
-def count_tokens(marked: str) -> int:
-    """A cheap bound for byte-level tokenizers: four bytes a token, one at least."""
-    return max(1, -(-len(marked.encode("utf-8", "surrogatepass")) // 4))
+def count_bytes(marked: str) -> int:
+    """An upper bound of a byte-level tokenizer's tokens, where none is named."""
+    return max(1, len(marked.encode("utf-8", "surrogatepass")))
+
+
+def tokens_of(path: str) -> Callable[[str], int]:
+    """Counts by the byte-level tokenizer at `path`. A turn's markup ends in a line break, so turns' counts add up to the window's."""
+
+    def count(marked: str) -> int:
+        return len(load(path).encode([marked])[0]) // 4
+
+    return count
 
 
 class _Conversation:
@@ -117,7 +128,7 @@ def _same(a, b) -> bool:
     return a == b or (pd.isna(a) and pd.isna(b))
 
 
-def format_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text", budget: int = BUDGET, history: float = HISTORY, tokens: Callable[[str], int] = count_tokens) -> DataFrame:
+def format_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text", budget: int = BUDGET, history: float = HISTORY, tokens: Callable[[str], int] = count_bytes) -> DataFrame:
     """Windows (WINDOW_SCHEMA). Those of a conversation stand together and in order in one partition."""
     rows = turns.select(F.col(key).cast("long").alias("conv_id"), F.col(order).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")

@@ -33,7 +33,7 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(-7, 0, "user", SPOKEN), (-7, 1, "assistant", SPOKEN)], "conv_id long, turn long, role string, text string")
-    return chat_formatting.read_windows(chat_formatting.format_conversations(turns.unionByName(added)))
+    return chat_formatting.read_windows(chat_formatting.format_conversations(turns.unionByName(added), tokens=chat_formatting.tokens_of(tokenizer_file("byte_bpe_50k.json"))))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

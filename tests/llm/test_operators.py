@@ -307,6 +307,24 @@ def test_piece_encoding(spark, texts, tokenizers):
     assert piece_encoding.encode(df.limit(0), path).count() == 0
 
 
+def test_chat_windows_hold_their_budget_in_real_tokens(spark, tokenizers):
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rng = random.Random(6)
+    said = ["12 + 7 = 19; x_1[2] != y", "é ü 日本語 🤖", "plain words of a sentence", "</s> <|im_end|>\n", "qzx vkj wq", "\n\n  \t"]
+    rows = [(c, t, ["system", "user", "assistant"][min(t, 1 + t % 2)], " ".join(rng.choice(said) for _ in range(rng.randint(0, 30)))) for c in range(4) for t in range(40)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for tokens in ({}, {"tokens": chat_formatting.tokens_of(path)}):
+        made = chat_formatting.format_conversations(turns, budget=600, **tokens).collect()
+        for r in made:
+            real = len(library.encode(r.text, add_special_tokens=False).ids)
+            assert r.text.count("<|im_start|>") == 1 or real <= 600
+            assert r.n_tokens == real if tokens else r.n_tokens >= real
+    assert any(r.n_repeated for r in made) and any(r.text.count("<|im_start|>") > 2 for r in made)
+
+
 def test_best_fit_packing(spark, texts, tokenizers):
     from tokenizers import Tokenizer
 
