@@ -282,6 +282,17 @@ def test_secrets_behind_an_equals_sign_are_tested(spark, name):
     assert masked == {0: f"see {name}[secret] here", 1: f"see {name}[secret];x=y"}
 
 
+def test_secrets_without_a_digit_are_found(spark):
+    rng = random.Random(12)
+    lower_, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(rng.choice(own) for _ in range(n)) for own in (lower_, upper, lower_ + upper, lower_ + upper + "+/") for n in (40, 64)]
+    plain = ["/usr/local/share/applications/default", "some_long_snake_case_identifier_name", "z" * 40, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "Lopadotemachoselachogaleokranioleipsanodrimhypotrimmatosilphioparaomelitokatakechymenokichlepikossyphophattoperisteralektryonoptekephalliokigklopeleiolagoiosiraiobaphetraganopterygon"]
+    rows = spark.createDataFrame(list(enumerate(keys + plain)), "doc_id long, text string")
+    found = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in secret_scans.find_secrets(rows).collect()}
+    assert [found[i] for i in range(len(keys))] == [[("random", 0, len(k))] for k in keys]
+    assert not any(found[len(keys) + i] for i in range(len(plain)))
+
+
 @pytest.fixture(scope="module")
 def tokenizers():
     return pytest.importorskip("public_tokenizers")
