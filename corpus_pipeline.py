@@ -70,7 +70,8 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-#: SQL expresses neither the likelihood ratio, the components, nor the packing; tests/llm holds run() against brute force.
+#: SQL expresses neither the likelihood ratio, the components, nor the packing. tests/llm holds operators against
+#: brute force, but neither the stages nor run(): of those it checks columns, ids and that rows stay.
 ORACLE_SQL = None
 
 
