@@ -7,15 +7,16 @@ gaps that remain, largest first, and open new bins where none fits.
 
 The plan needs only how many pieces there are of each length, at most `capacity` counts, so it is
 made on the driver in time and space that don't grow with the corpus: bins of one shape are one
-class with a number of bins. Executors give each piece its rank among those of its length, by salt
-so that no common length gathers in one task, and look up the class that holds that rank.
+class with a number of bins. A full piece is a sequence of its own and stays where it is. Of the others
+executors give each its rank among those of its length, by salt so that no common length gathers in
+one task, and look up the class that holds that rank.
 
 Pieces carry their ids all the way: between tasks in two bytes each where a piece's ids fit, in what
 `pack` returns as little-endian unsigned 32-bit bytes. `sequences` puts those of each sequence together.
 
 Defined results: a null or empty text is the separator alone, one piece; repeated rows are packed
-each; pieces of one length take their places in order of salt, key and piece; an empty table gives
-no rows. Other columns are not looked at.
+each; a null id stays null beside any other; pieces of one length take their places in order of salt, key,
+piece and row; an empty table gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -33,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise
+from .common import chunks, id_columns, ids_of, materialise
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Salts of a length: a common one is ranked in so many tasks.
-SALTS = 256
+#: Pieces of one length that a task ranks, about: a common length is dealt by salt to as many tasks as it takes.
+RANKED = 20_000
+#: Rows of a table that may be broadcast; they are counted before, and a larger one is shuffled.
+BROADCAST_ROWS = 1_000_000
 #: Parts that byte-level BPE encodes alone, since its own split never crosses them: a run of letters that a blank or
 #: plain punctuation ends, else all up to the next blank, and blanks by the tokenizer's own rule.
 _PART = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[\s.,;:!?]|\Z)| ?\S+|\s+(?!\S)|\s+")
@@ -114,21 +117,23 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = load(path)
         for batch in batches:
-            texts, keys, rows = batch["t"].tolist(), batch["key"].astype("Int64").tolist(), []
+            texts, keys, at, rows = batch["t"].tolist(), ids_of(batch), [], []
             for a, b in chunks(texts):
-                for key_, data in zip(keys[a:b], encoder.encode(texts[a:b])):
+                for i, data in zip(range(a, b), encoder.encode(texts[a:b])):
                     data += end
                     n = len(data) // 4
                     start, piece = 0, 0
                     while start < n:
                         length = (n - start) % capacity or capacity
                         own = data[4 * start : 4 * (start + length)]
-                        rows.append((key_, piece, start, length, zlib.crc32(own), narrow(own)))
+                        rows.append((piece, start, length, zlib.crc32(own), narrow(own)))
+                        at.append(i)
                         start, piece = start + length, piece + 1
-            out = pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids_crc32", "ids"])
-            yield out.astype({"key": "Int64"})
+            out = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32", "ids"])
+            out.insert(0, "key", keys[at])
+            yield out
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t")).mapInPandas(run, PIECES)
+    return docs.select(*id_columns(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).mapInPandas(run, PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -202,35 +207,46 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return places
 
 
-def pack(found: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def pack(found: DataFrame, capacity: int = CAPACITY, ranked: int = RANKED) -> DataFrame:
     """`found` (PIECES) with ids of four bytes each, sequence_id and offset.
 
-    `found` is read twice, so it should be materialised.
+    `found` is read several times, and a full piece's sequence is numbered by its place in it, so it should be materialised.
     """
     spark = found.sparkSession
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("key", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
-    per_salt = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))  # capacity x salts rows at most
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = per_salt.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    counts = {r["length"]: r["n"] for r in per_salt.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    places = pd.DataFrame(plan(counts, capacity), columns=["length", "p_rank", "p_each", "p_bins", "p_bin", "p_offset"]).astype("int64")
+    counts = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
+    counts.pop(capacity, None)  # a full piece is a sequence of its own
+    planned = plan(counts, capacity)
+    made = max((first + bins for _, _, _, bins, first, _ in planned), default=0)
+    full = found.where(F.col("length") == capacity).select("key", "piece", "start", "length", "ids", "ids_crc32", (F.lit(made) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+
+    places = pd.DataFrame(planned, columns=["length", "p_rank", "p_each", "p_bins", "p_bin", "p_offset"]).astype("int64")
+    places["salts"] = [-(-counts[n] // ranked) for n in places["length"]]
     # Of each length a sorted array of places: its last entry not above the rank is the piece's.
     fields = ["p_rank", "p_each", "p_bin", "p_offset"]
-    table = spark.createDataFrame(places[["length", *fields]], "length int, " + ", ".join(f"{c} long" for c in fields))
-    table = table.groupBy("length").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("places"))
+    table = spark.createDataFrame(places[["length", "salts", *fields]], "length int, salts long, " + ", ".join(f"{c} long" for c in fields))
+    table = table.groupBy("length", "salts").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("places"))
+
+    def small(df: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
-    ranked = salted.withColumn("own", F.row_number().over(Window.partitionBy("length", "salt").orderBy("key", "piece", "ids_crc32")) - 1)
-    ranked = ranked.join(F.broadcast(firsts), ["length", "salt"]).withColumn("rank", F.col("first") + F.col("own"))
+    # Repeated rows are told apart by where they stand, so that they don't share a salt.
+    salted = found.where(F.col("length") < capacity).withColumn("row", F.monotonically_increasing_id()).join(small(table.select("length", "salts"), len(counts)), "length")
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("key", "piece", "ids_crc32", "row"), F.col("salts")).cast("int")).drop("salts")
+    per_salt = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = per_salt.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    ranks = salted.withColumn("own", F.row_number().over(Window.partitionBy("length", "salt").orderBy("key", "piece", "ids_crc32", "row")) - 1)
+    ranks = ranks.join(small(firsts, sum(-(-n // ranked) for n in counts.values())), ["length", "salt"]).withColumn("rank", F.col("first") + F.col("own"))
     # Places of a length may be many: the one wanted is found by bisection.
-    ranked = ranked.join(F.broadcast(table), "length")
+    ranks = ranks.join(small(table.drop("salts"), len(planned)), "length")
     steps = 24
     bisect = f"""aggregate(sequence(1, {steps}), struct(0 as low, size(places) as high), (s, i) ->
         case when s.high - s.low <= 1 then s
              when places[cast((s.low + s.high) div 2 as int)].p_rank <= rank then struct(cast((s.low + s.high) div 2 as int) as low, s.high as high)
              else struct(s.low as low, cast((s.low + s.high) div 2 as int) as high) end, s -> places[s.low])"""
-    at = ranked.withColumn("place", F.expr(bisect))
+    at = ranks.withColumn("place", F.expr(bisect))
     step = F.expr("rank - place.p_rank")
-    at = at.select("key", "piece", "start", "length", "ids", "ids_crc32", F.expr("place.p_bin + (rank - place.p_rank) div place.p_each").alias("sequence_id"), (F.col("place.p_offset") + F.pmod(step, F.col("place.p_each")) * F.col("length")).alias("offset"))
+    at = at.select("key", "piece", "start", "length", "ids", "ids_crc32", F.expr("place.p_bin + (rank - place.p_rank) div place.p_each").alias("sequence_id"), (F.col("place.p_offset") + F.pmod(step, F.col("place.p_each")) * F.col("length")).alias("offset")).unionByName(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

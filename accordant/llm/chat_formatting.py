@@ -1,18 +1,18 @@
 """Chat formatting: conversations as budgeted, turn-aligned training windows.
 
-Prefix sums of turn tokens choose the spans: a window takes new turns while they fit the budget,
-opens with the system turn, and repeats the latest turns before its span as history as far as a
+Prefix sums of turn tokens choose the spans by bisection: a window takes new turns while they fit the
+budget, opens with the system turn, and repeats the latest turns before its span as history as far as a
 share of the budget allows. Assistant turns are targets; repeated ones are masked, so each is under
-the loss once. The template marks turns with control strings, and control strings inside texts are
-broken by an escape that `read_windows` undoes.
+the loss once. The template marks turns with control strings, and control strings inside roles and texts
+are broken by an escape that `read_windows` undoes.
 
 One shuffle by conversation and a sort by turn; after that a partition is one stream of turns, and
-memory holds the system turn, the history and one window, however long a conversation is.
+memory holds the system turn, the history and some windows' turns, however long a conversation is.
 
 Defined results: a null text or role is empty; rows of one turn number, and repeated rows, are turns
 of their own in order of turn (nulls first), role, text; rows with a null conversation id form one
-conversation; a turn larger than the budget is a window of its own, never cut; an empty table gives
-no windows. Other columns are not looked at.
+conversation of their own, whatever ids stand beside it; a turn larger than the budget is a window of its
+own, never cut; an empty table gives no windows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -21,22 +21,27 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .best_fit_packing import load
+from .common import id_columns
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Strings that a tokenizer may read as control, whether this template uses them or not.
 CONTROL = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|startoftext|>", "<s>", "</s>", "<unk>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 _CONTROL = re.compile("|".join(f"{re.escape(c[0])}(?={re.escape(c[1:])})" for c in CONTROL))
 _ESCAPED = re.compile(r"\\(\\?)")
+_ESCAPED_ROLE = re.compile(r"\\([\\n]?)")
 _TURN = re.compile(rf"{re.escape(START)}([^\n]*)\n(.*?){re.escape(END)}\n", re.DOTALL)
 
 WINDOW_SCHEMA = "conv_id long, window long, text string, n_repeated int, loss_starts array<int>, loss_ends array<int>, n_tokens long"
 #: Tokens of a window, and the share of them that repeated history may take.
 BUDGET, HISTORY = 2048, 0.25
+#: Windows' worth of tokens that are held of a conversation before windows are made.
+HELD = 16
 
 
 def escape(text: str) -> str:
@@ -48,9 +53,18 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+def escape_role(role: str) -> str:
+    """A role stands in one line: a line break is a backslash and n, which no escape above gives."""
+    return escape(role).replace("\n", "\\n")
+
+
+def unescape_role(role: str) -> str:
+    return _ESCAPED_ROLE.sub(lambda m: "\n" if m[1] == "n" else m[1], role)
+
+
 def render(role: str, text: str) -> tuple[str, int, int]:
     """A turn's markup, and where its text stands in it."""
-    head = f"{START}{escape(role).replace(chr(10), ' ')}\n"
+    head = f"{START}{escape_role(role)}\n"
     body = escape(text)
     return f"{head}{body}{END}\n", len(head), len(head) + len(body)
 
@@ -69,69 +83,74 @@ def tokens_of(path: str) -> Callable[[str], int]:
     return count
 
 
+def span(before: np.ndarray, i: int, budget: int, history: int, system: int, earliest: int) -> tuple[int, int, bool]:
+    """(first history turn, end, whether the system turn is kept) of the window whose first new turn is i.
+
+    `before` are the prefix sums of turn tokens: before[n] is the sum of the turns before n. `system` is
+    the system turn's size, 0 where there is none to repeat; history starts at `earliest` at the earliest.
+    """
+    own = int(before[i + 1] - before[i])
+    kept = bool(system) and system + own <= budget
+    room = budget - own - (system if kept else 0)
+    past = max(0, min(history, room))
+    low = min(i, max(earliest, int(np.searchsorted(before, before[i] - past, side="left"))))
+    room -= int(before[i] - before[low])
+    end = max(i + 1, int(np.searchsorted(before, before[i + 1] + room, side="right")) - 1)
+    return low, end, kept
+
+
 class _Conversation:
-    """The windows of one conversation, from its turns in order."""
+    """The windows of one conversation, from its turns in order; of them it holds the history and about HELD windows."""
 
     def __init__(self, conv_id, budget: int, history: int, tokens: Callable[[str], int]):
         self.id, self.budget, self.most, self.tokens = conv_id, budget, history, tokens
-        self.system, self.past, self.past_tokens = None, [], 0
-        self.repeated, self.new, self.room, self.made = [], [], budget, 0
-        self.first = True
+        self.turns: list[tuple] = []
+        self.system, self.seen, self.made, self.at, self.held, self.earliest = None, 0, 0, 0, 0, 0
 
     def add(self, role: str, text: str) -> Iterator[tuple]:
         marked, a, b = render(role, text)
         turn = (marked, a, b, role == "assistant", self.tokens(marked))
-        if self.new and turn[4] > self.room:
-            yield self.close()
-        if not self.new:
-            self.open(turn[4])
-        self.new.append(turn)
-        self.room -= turn[4]
-        if self.first and role == "system":
-            self.system = turn
-        else:
-            self.past.append(turn)
-            self.past_tokens += turn[4]
-            while self.past_tokens > self.most:
-                self.past_tokens -= self.past.pop(0)[4]
-        self.first = False
-
-    def open(self, needed: int) -> None:
-        """Start a window with the system turn and the latest turns, both only beside the turn that has to fit."""
-        self.repeated, self.room = [], self.budget
-        if self.made and self.system and self.system[4] + needed <= self.room:
-            self.repeated.append(self.system)
-            self.room -= self.system[4]
-        if self.made:
-            kept = []
-            for turn in reversed(self.past):
-                if turn[4] + needed > self.room:
-                    break
-                kept.append(turn)
-                self.room -= turn[4]
-            self.repeated += kept[::-1]
-
-    def close(self) -> tuple:
+        if not self.seen and role == "system":
+            self.system, self.earliest = turn, 1  # repeated as such, not as history
+        self.seen += 1
+        self.turns.append(turn)
+        self.held += turn[4]
+        if self.held > HELD * self.budget:
+            yield from self.flush(False)
+
+    def flush(self, last: bool) -> Iterator[tuple]:
+        """The windows whose end is known; with `last`, all that are left."""
+        before = np.concatenate(([0], np.cumsum([t[4] for t in self.turns], dtype=np.int64)))
+        while self.at < len(self.turns):
+            low, end, kept = span(before, self.at, self.budget, self.most if self.made else 0, self.system[4] if self.made and self.system else 0, self.earliest)
+            if end == len(self.turns) and not last:
+                break  # the next turn may fit, too
+            yield self.window([self.system] * kept + self.turns[low : self.at], self.turns[self.at : end])
+            self.at = end
+        drop = max(0, min(self.at, int(np.searchsorted(before, before[self.at] - self.most, side="left"))))
+        self.turns, self.at, self.earliest = self.turns[drop:], self.at - drop, max(0, self.earliest - drop)
+        self.held = int(before[-1] - before[drop])
+
+    def window(self, repeated: list[tuple], new: list[tuple]) -> tuple:
         parts, starts, ends, at = [], [], [], 0
-        for n, (marked, a, b, target, _) in enumerate(self.repeated + self.new):
-            if target and n >= len(self.repeated):
+        for n, (marked, a, b, target, _) in enumerate(repeated + new):
+            if target and n >= len(repeated):
                 starts.append(at + a)
                 ends.append(at + b)
             parts.append(marked)
             at += len(marked)
-        row = (self.id, self.made, "".join(parts), len(self.repeated), starts, ends, sum(t[4] for t in self.repeated + self.new))
-        self.made, self.new = self.made + 1, []
-        return row
+        self.made += 1
+        return (self.id, self.made - 1, "".join(parts), len(repeated), starts, ends, sum(t[4] for t in repeated + new))
 
 
-def _same(a, b) -> bool:
-    return a == b or (pd.isna(a) and pd.isna(b))
+def _ids(batch: pd.DataFrame) -> list:
+    return [None if null else i for i, null in zip(batch["conv_id"].tolist(), batch["conv_id_null"].tolist())]
 
 
 def format_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text", budget: int = BUDGET, history: float = HISTORY, tokens: Callable[[str], int] = count_bytes) -> DataFrame:
     """Windows (WINDOW_SCHEMA). Those of a conversation stand together and in order in one partition."""
-    rows = turns.select(F.col(key).cast("long").alias("conv_id"), F.col(order).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    rows = turns.select(*id_columns(key, "conv_id"), F.col(f"`{order}`").alias("turn"), F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "conv_id_null", "turn", "role", "text")
     names = [x.split()[0] for x in WINDOW_SCHEMA.split(", ")]
     most = int(budget * history)
 
@@ -139,23 +158,22 @@ def format_conversations(turns: DataFrame, key: str = "conv_id", order: str = "t
         now = None
         for batch in batches:
             out = []
-            for conv, r, t in zip(batch["conv_id"], batch["role"], batch["text"]):
-                if now is None or not _same(now.id, conv):
+            for conv, r, t in zip(_ids(batch), batch["role"], batch["text"]):
+                if now is None or now.id != conv:
                     if now is not None:
-                        out.append(now.close())
+                        out += now.flush(True)
                     now = _Conversation(conv, budget, most, tokens)
                 out += now.add(r, t)
             yield _frame(out, names)
         if now is not None:
-            yield _frame([now.close()], names)
+            yield _frame(list(now.flush(True)), names)
 
-    return rows.select("conv_id", "role", "text").mapInPandas(windows, WINDOW_SCHEMA)
+    return rows.select("conv_id", "conv_id_null", "role", "text").mapInPandas(windows, WINDOW_SCHEMA)
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names)
-    if "conv_id" in frame:
-        frame["conv_id"] = frame["conv_id"].astype("Int64")
+    frame = pd.DataFrame([r[1:] for r in rows], columns=names[1:])
+    frame.insert(0, names[0], pd.array([r[0] for r in rows], dtype="Int64"))
     return frame
 
 
@@ -179,15 +197,15 @@ def read_windows(windows: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            for c, text, repeated, starts, ends in zip(batch["conv_id"], batch["text"], batch["n_repeated"], batch["loss_starts"], batch["loss_ends"]):
-                if state is None or not _same(conv, c):
+            for c, text, repeated, starts, ends in zip(_ids(batch), batch["text"], batch["n_repeated"], batch["loss_starts"], batch["loss_ends"]):
+                if state is None or conv != c:
                     if state is not None:
                         out.append(result())
                     conv, state = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 for n, m in enumerate(_TURN.finditer(text)):
                     if n >= repeated:
                         state[0] += 1
-                        state[1].update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode("utf-8", "surrogatepass"))
+                        state[1].update(f"{unescape_role(m[1])}\n{unescape(m[2])}\n".encode("utf-8", "surrogatepass"))
                 for a, b in zip(starts, ends):
                     said = unescape(text[a:b])
                     state[2] += len(said)
@@ -197,4 +215,5 @@ def read_windows(windows: DataFrame) -> DataFrame:
         if state is not None:
             yield _frame([result()], names)
 
-    return windows.mapInPandas(read, READ_SCHEMA)
+    own = [c for c in windows.columns if c != "conv_id"]
+    return windows.select(*id_columns("conv_id", "conv_id"), *own).mapInPandas(read, READ_SCHEMA)

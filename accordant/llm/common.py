@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def id_columns(key: str, name: str = "doc") -> list:
+    """An id as two columns without nulls: beside a null, pandas would hold longs as floats and round those above 2^53."""
+    own = F.col(f"`{key}`").cast("long")
+    return [F.coalesce(own, F.lit(0).cast("long")).alias(name), own.isNull().alias(f"{name}_null")]
+
+
+def ids_of(batch: pd.DataFrame, name: str = "doc") -> pd.arrays.IntegerArray:
+    """The ids that `id_columns` made, whole, nulls included."""
+    return pd.arrays.IntegerArray(batch[name].to_numpy(dtype=np.int64), batch[f"{name}_null"].to_numpy(dtype=bool))
+
+
 def ascii_lower(column):
     """Lower-case A-Z alone; lower() would touch other alphabets too."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -4,14 +4,15 @@ A document's set is its distinct 5-word shingles, as 64-bit names. Two documents
 Jaccard similarity reaches the threshold, which is an overlap of at least T shingles. The search
 follows DivideSkip: a document's inverted lists are divided into the long ones, as many as T
 allows to leave out, and the short ones; short lists are merged, and the documents found often
-enough are probed for in the long lists by bisection.
+enough are probed for in the long lists by bisection. The lists are ascending runs of one array, which a stable
+sort merges run by run; a heap would do the same a number at a time.
 
 Distribution. (1) One pass names every document's set by a digest; documents of equal sets are one
-class, and only its first goes on. The same pass counts shingles, whose most frequent (a bounded
+class, whose first (least id) alone goes on. The same pass counts shingles, whose most frequent (a bounded
 list) rank last in the global order. (2) By the prefix filter, linked sets share k of
 their first n - T + k shingles in that order; sets that share fewer with all others together are
-done. Classes that share one meet in a cell, named by the least of them; any linked pair shares a
-cell. (3) Texts are sent to all their cells. A cell beyond a size is cut into
+done. Classes that share one meet in a cell, named by the least of their digests; any linked pair shares a
+cell. (3) The firsts' texts are sent to all their cells. A cell beyond a size is cut into
 blocks, all pairs of which meet in bounded tasks. (4) In a cell the T-occurrence search finds every
 link over the whole sets; the least cell that both ends share tells it, so it is told once. `pairs`
 returns the links themselves; `join` counts them where they are found, since their number
@@ -22,7 +23,8 @@ Every link between classes is found; nothing is passed over, capped or sampled.
 
 Defined results: a null or empty text, or one without words, has an empty set and links with
 nothing; a shorter text than a shingle is one shingle; repeated rows are one document; rows that
-share an id but not a text join their components; a null id gets a null component; an empty table
+share an id but not a text are classes of their own, each with its links, and join their components (texts of
+one id are told apart by 64 bits); a null id gets a null component and links with nothing; an empty table
 gives no rows. Other columns are not looked at.
 """
 
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from accordant.operators.graph import components
 
-from .common import LOWER_TABLE, chunks, materialise
+from .common import LOWER_TABLE, chunks, id_columns, ids_of, materialise
 from .word_hashes import WordNames, mix, window_names
 
 WIDTH, PERCENT = 5, 75
@@ -103,11 +105,11 @@ def _digest(own: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-SET_SCHEMA = "doc long, n long, d1 long, d2 long, shingles array<long>, counts array<long>"
+SET_SCHEMA = "doc long, h long, n long, d1 long, d2 long, shingles array<long>, counts array<long>"
 
 
 def _name_sets(docs: DataFrame, width: int) -> DataFrame:
-    """A row per document (doc, n, d1, d2), and rows with n < 0 that carry counts of shingles seen often in a worker."""
+    """A row per document (doc, h, n, d1, d2; h names its text), and rows with n < 0 that carry counts of shingles seen often in a worker."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen, pending, held = Shingler(width), set(), [], 0
@@ -115,10 +117,10 @@ def _name_sets(docs: DataFrame, width: int) -> DataFrame:
         def told() -> pd.DataFrame:
             names, counts = np.unique(np.concatenate(pending), return_counts=True) if pending else (np.empty(0, np.uint64), np.empty(0, np.int64))
             often = counts >= TOLD
-            return pd.DataFrame({"doc": pd.array([None], dtype="Int64"), "n": [-1], "d1": [0], "d2": [0], "shingles": [names[often].view(np.int64)], "counts": [counts[often]]})
+            return pd.DataFrame({"doc": pd.array([None], dtype="Int64"), "h": [0], "n": [-1], "d1": [0], "d2": [0], "shingles": [names[often].view(np.int64)], "counts": [counts[often]]})
 
         for batch in batches:
-            keys, texts = batch["doc"].astype("Int64"), batch["t"].tolist()
+            keys, texts = ids_of(batch), batch["t"].tolist()
             for a, b in chunks(texts):
                 sets = shingler.sets(texts[a:b])
                 digests = [_digest(s) for s in sets]
@@ -129,14 +131,14 @@ def _name_sets(docs: DataFrame, width: int) -> DataFrame:
                         held += len(s)
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                yield pd.DataFrame({"doc": keys[a:b].array, "n": [len(s) for s in sets], "d1": [d[0] for d in digests], "d2": [d[1] for d in digests], "shingles": None, "counts": None})
+                yield pd.DataFrame({"doc": keys[a:b], "h": batch["h"].to_numpy()[a:b], "n": [len(s) for s in sets], "d1": [d[0] for d in digests], "d2": [d[1] for d in digests], "shingles": None, "counts": None})
                 if held >= COUNTED:
                     yield told()
                     pending, held = [], 0
         if pending:
             yield told()
 
-    return docs.mapInPandas(run, SET_SCHEMA)
+    return docs.select("doc", "doc_null", "t", "h").mapInPandas(run, SET_SCHEMA)
 
 
 def _order(named: DataFrame, ranked: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,26 +164,26 @@ def prefix_of(own: np.ndarray, names: np.ndarray, ranks: np.ndarray, percent: in
 
 
 def _postings(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
-    """token, doc: the prefix of each set, of copies in a worker the first one's."""
+    """token, d1: the prefix of each set, once for copies in a worker."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(width), set()
         names, ranks = order.value
         for batch in batches:
-            keys, texts = batch["doc"].tolist(), batch["t"].tolist()
+            texts = batch["t"].tolist()
             for a, b in chunks(texts):
-                own_keys, tokens = [], []
-                for key, own in zip(keys[a:b], shingler.sets(texts[a:b])):
+                digests, tokens = [], []
+                for own in shingler.sets(texts[a:b]):
                     if len(own) and (d := _digest(own)) not in seen:
                         seen.add(d)
                         tokens.append(prefix_of(own, names, ranks, percent).view(np.int64))
-                        own_keys.append(np.full(len(tokens[-1]), key, dtype=np.int64))
+                        digests.append(np.full(len(tokens[-1]), d[0], dtype=np.int64))
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 if tokens:
-                    yield pd.DataFrame({"token": np.concatenate(tokens), "doc": np.concatenate(own_keys)})
+                    yield pd.DataFrame({"token": np.concatenate(tokens), "d1": np.concatenate(digests)})
 
-    return docs.where("doc is not null").mapInPandas(run, "token long, doc long")
+    return docs.where("not doc_null").select("t").mapInPandas(run, "token long, d1 long")
 
 
 def links_of(sets: list[np.ndarray], percent: int = PERCENT) -> Iterator[tuple[int, np.ndarray]]:
@@ -208,7 +210,10 @@ def links_of(sets: list[np.ndarray], percent: int = PERCENT) -> Iterator[tuple[i
         longest = max(2, int(lengths.max()))
         apart = min(t - 1, int(t / (0.0085 * np.log2(longest) + 1)))
         short, long = mine[: len(mine) - apart], mine[len(mine) - apart :]
-        found, counts = np.unique(np.concatenate([lists[starts[x] : ends[x]] for x in short]), return_counts=True)
+        merged = np.concatenate([lists[starts[x] : ends[x]] for x in short])
+        merged.sort(kind="stable")  # merges the lists, which are ascending runs
+        at = np.flatnonzero(np.concatenate(([True], merged[1:] != merged[:-1])))
+        found, counts = merged[at], np.diff(np.concatenate((at, [len(merged)])))
         keep = counts >= t - len(long)
         found, counts = found[keep], counts[keep]
         if 4 * len(found) * len(long) > lengths.sum():  # so many are left that the long lists are merged, too
@@ -255,19 +260,19 @@ def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     return joined.roots()
 
 
-FOUND_SCHEMA = "a long, b long, n long"
+FOUND_SCHEMA = "a long, h long, b long, n long"
 
 
 def _search_cells(members: DataFrame, texts: DataFrame, width: int, percent: int, every: bool = False) -> DataFrame:
-    """FOUND_SCHEMA: links (a, b) that hold the components of each cell together, and (a, null, n) with links that a has
-    in a cell; or, for `every`, each link once, a below b. members: cell, doc, n; texts: doc, t."""
+    """FOUND_SCHEMA: links (a, null, b, null) that hold the components of each cell together, and (a, h, null, n) with links
+    that a class has in a cell; or, for `every`, each link once, a not above b. members: cell, doc, h, n; texts: doc, h, t."""
     weight = members.groupBy("cell").agg(F.sum("n").alias("total"), F.count("*").alias("m")).where("m > 1")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(CELL_SHINGLES)).cast("int"))
-    of = members.groupBy("doc").agg(F.sort_array(F.collect_set("cell")).alias("cells"))
+    of = members.groupBy("doc", "h").agg(F.sort_array(F.collect_set("cell")).alias("cells"))
     # A cell's blocks meet in pairs: a member of block x goes to every pair (x, y).
-    cut = members.join(weight.select("cell", blocks.alias("blocks")), "cell").withColumn("x", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    cut = cut.withColumn("y", F.explode(F.expr("sequence(0, blocks - 1)"))).select("cell", "doc", "x", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
-    rows = cut.join(texts.join(of, "doc"), "doc").repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "doc")
+    cut = members.join(weight.select("cell", blocks.alias("blocks")), "cell").withColumn("x", F.pmod(F.xxhash64("doc", "h"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("y", F.explode(F.expr("sequence(0, blocks - 1)"))).select("cell", "doc", "h", "x", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
+    rows = cut.join(texts.join(of, ["doc", "h"]), ["doc", "h"]).repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "doc", "h")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, now, ids, sets, of, xs = Shingler(width), None, [], [], [], []
@@ -275,7 +280,8 @@ def _search_cells(members: DataFrame, texts: DataFrame, width: int, percent: int
         def close() -> Iterator[pd.DataFrame]:
             if len(sets) < 2:
                 return
-            doc, block = np.array(ids, dtype=np.int64), np.array(xs)
+            doc, h = np.array(ids, dtype=np.int64).T
+            block = np.array(xs)
             kinds = {cells: k for k, cells in enumerate(dict.fromkeys(of))}
             kind, told_here = np.array([kinds[cells] for cells in of]), {}
             joined, n = Joined(len(sets)), np.zeros(len(sets), dtype=np.int64)
@@ -291,19 +297,19 @@ def _search_cells(members: DataFrame, texts: DataFrame, width: int, percent: int
                 n[i] += len(others)
                 n[others] += 1
                 if every and len(others):
-                    yield frame(np.minimum(doc[i], doc[others]), np.maximum(doc[i], doc[others]), None)
+                    yield frame(np.minimum(doc[i], doc[others]), None, np.maximum(doc[i], doc[others]), None)
             if not every:
                 roots = joined.roots()
                 tied, linked = np.flatnonzero(roots != np.arange(len(roots))), np.flatnonzero(n)
-                yield frame(doc[tied], doc[roots[tied]], None)
-                yield frame(doc[linked], None, n[linked])
+                yield frame(doc[tied], None, doc[roots[tied]], None)
+                yield frame(doc[linked], h[linked], None, n[linked])
 
-        def frame(a, b, n) -> pd.DataFrame:
-            return pd.DataFrame({"a": a, "b": b, "n": n}).astype("Int64")
+        def frame(a, h, b, n) -> pd.DataFrame:
+            return pd.DataFrame({"a": a, "h": h, "b": b, "n": n}).astype("Int64")
 
         for batch in batches:
             keys = list(zip(batch["cell"].tolist(), batch["low"].tolist(), batch["high"].tolist()))
-            docs_, texts_, cells_, xs_ = batch["doc"].tolist(), batch["t"].tolist(), batch["cells"].tolist(), batch["x"].tolist()
+            docs_, texts_, cells_, xs_ = list(zip(batch["doc"].tolist(), batch["h"].tolist())), batch["t"].tolist(), batch["cells"].tolist(), batch["x"].tolist()
             for a, b in chunks(texts_):
                 for key, doc, cells, x, own in zip(keys[a:b], docs_[a:b], cells_[a:b], xs_[a:b], shingler.sets(texts_[a:b])):
                     if key != now:
@@ -315,59 +321,60 @@ def _search_cells(members: DataFrame, texts: DataFrame, width: int, percent: int
                     xs.append(x)
         yield from close()
 
-    return rows.select("cell", "low", "high", "doc", "x", "cells", "t").mapInPandas(run, FOUND_SCHEMA)
+    return rows.select("cell", "low", "high", "doc", "h", "x", "cells", "t").mapInPandas(run, FOUND_SCHEMA)
 
 
 def _meet(docs: DataFrame, key: str, text: str, width: int, percent: int, ranked: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Documents (doc, n), classes (doc, first, n), members of cells (cell, doc, n) and their texts (doc, t)."""
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
+    """Documents (doc, n, d1, d2), classes (d1, d2, first, h, n), members of cells (cell, doc, h, n) and their texts (doc, h, t)."""
+    rows = docs.select(*id_columns(key), F.col(f"`{text}`").alias("t")).withColumn("h", F.xxhash64("t"))
     named = materialise(_name_sets(rows, width))
-    found = named.where("n >= 0").select("doc", "n", "d1", "d2")
+    found = named.where("n >= 0").select("doc", "h", "n", "d1", "d2")
     order = rows.sparkSession.sparkContext.broadcast(_order(named, ranked))  # `ranked` names and ranks at most
 
-    some = found.where("n > 0 and doc is not null")
-    firsts = some.groupBy("d1", "d2").agg(F.min("doc").alias("first"), F.max("n").alias("n"))
-    classes = materialise(some.join(firsts.select("d1", "d2", "first"), ["d1", "d2"]).select("doc", "first", "n").distinct())
+    least = F.min(F.struct("doc", "h"))
+    classes = found.where("n > 0 and doc is not null").groupBy("d1", "d2").agg(least.alias("least"), F.max("n").alias("n"))
+    classes = materialise(classes.select("d1", "d2", F.col("least.doc").alias("first"), F.col("least.h").alias("h"), "n"))
 
-    least = F.min("doc").over(Window.partitionBy("token"))
-    most = F.max("doc").over(Window.partitionBy("token"))
-    shared = _postings(rows, order, width, percent).select("doc", least.alias("cell"), most.alias("last")).where("cell <> last").groupBy("doc", "cell").agg(F.count("*").alias("tokens"))
+    of_token = Window.partitionBy("token")
+    shared = _postings(rows, order, width, percent).select("d1", F.min("d1").over(of_token).alias("cell"), F.max("d1").over(of_token).alias("last"))
+    shared = shared.where("cell <> last").groupBy("d1", "cell").agg(F.count("*").alias("tokens"))
     # A set that shares fewer shingles than a link takes has none.
     enough = F.greatest(F.lit(1), F.least(*[F.expr(f"{EXTRA_PERCENT} * {n} div 100") for n in ("n", f"((({percent} * n) + 99) div 100)")]))
-    ids = classes.groupBy("doc").agg(F.min("first").alias("first"))
-    of_doc = shared.withColumn("all_tokens", F.sum("tokens").over(Window.partitionBy("doc"))).join(classes, "doc").where(F.col("all_tokens") >= enough)
-    # Ids that stand for one class meet here.
-    members = of_doc.select("cell", F.col("first").alias("doc"), "n").join(ids.select(F.col("doc").alias("cell"), F.col("first").alias("named")), "cell")
-    members = materialise(members.select(F.col("named").alias("cell"), "doc", "n").distinct())
+    of_class = shared.withColumn("all_tokens", F.sum("tokens").over(Window.partitionBy("d1"))).join(classes, "d1").where(F.col("all_tokens") >= enough)
+    members = materialise(of_class.select("cell", F.col("first").alias("doc"), "h", "n"))
     lone = members.groupBy("cell").agg(F.count("*").alias("m")).where("m = 1").select("cell")
     members = members.join(lone, "cell", "left_anti")
 
-    texts = materialise(rows.join(members.select("doc").distinct(), "doc", "left_semi").groupBy("doc").agg(F.max("t").alias("t")))
+    wanted = members.select("doc", "h").distinct()
+    texts = materialise(rows.where("not doc_null").select("doc", "h", "t").join(wanted, ["doc", "h"], "left_semi").groupBy("doc", "h").agg(F.max("t").alias("t")))
     return found, classes, members, texts
 
 
 def pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, ranked: int = RANKED) -> DataFrame:
-    """Every link between classes once: a and b, the least ids of two different sets that link, a below b."""
+    """Every link between classes once: a and b, the least ids of two different sets that link, a below b (or the same, where one id holds both)."""
     _, _, members, texts = _meet(docs, key, text, width, percent, ranked)
     return _search_cells(members, texts, width, percent, every=True).select("a", "b")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, ranked: int = RANKED) -> DataFrame:
-    """`key`, n_shingles, component_id, class_id (the least id of an equal set) and n_links of every row.
-
-    n_links is the number of classes that the row's class links to (all classes of its id together).
-    """
+    """`key`, n_shingles, component_id, class_id (the least id of an equal set) and n_links (classes that the row's class links to) of every row."""
     found, classes, members, texts = _meet(docs, key, text, width, percent, ranked)
     searched = materialise(_search_cells(members, texts, width, percent))
     links = searched.where("b is not null").select("a", "b")
-    counts = searched.where("n is not null").groupBy(F.col("a").alias("first")).agg(F.sum("n").alias("links"))
+    counts = searched.where("n is not null").groupBy(F.col("a").alias("first"), "h").agg(F.sum("n").alias("links"))
 
     # Ids that hold several classes tie those together.
-    several = classes.groupBy("doc").agg(F.min("first").alias("b"), F.max("first").alias("high")).where("b <> high").select("doc", "b")
-    tied = classes.join(several, "doc").select(F.col("first").alias("a"), "b")
-    label = components(links.unionByName(tied))
-    classes = classes.join(counts, "first", "left")
-    of = classes.groupBy("doc").agg(F.min("first").alias("class_id"), F.sum(F.coalesce("links", F.lit(0))).alias("n_links")).join(label.withColumnRenamed("node", "class_id"), "class_id", "left")
-    of = of.select("doc", "class_id", F.coalesce("label", "class_id").alias("component_id"), "n_links")
-    out = found.select("doc", "n").join(of, "doc", "left")
-    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"), F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    set_ = F.struct("d1", "d2")
+    some = found.where("n > 0 and doc is not null")
+    several = some.groupBy("doc").agg(F.min(set_).alias("low"), F.max(set_).alias("high")).where("low <> high").select("doc")
+    held = some.join(several, "doc").select("doc", "d1", "d2").distinct().join(classes, ["d1", "d2"]).select("doc", "first")
+    tied = held.join(held.groupBy("doc").agg(F.min("first").alias("b")), "doc").select(F.col("first").alias("a"), "b")
+    label = components(links.unionByName(tied)).withColumnRenamed("node", "first")
+    classes = classes.join(counts, ["first", "h"], "left").join(label, "first", "left")
+    of = classes.select("d1", "d2", F.col("first").alias("class_id"), F.coalesce("label", "first").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    out = found.select("doc", "n", "d1", "d2").join(of, ["d1", "d2"], "left")
+    own = F.col("doc").isNotNull() & (F.col("n") > 0)
+    return out.select(
+        F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.when(own, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
+        F.when(own, F.col("class_id")).otherwise(F.col("doc")).alias("class_id"), F.when(own, F.col("n_links")).otherwise(0).alias("n_links"),
+    )

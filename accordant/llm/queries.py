@@ -73,7 +73,7 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_file("piece_bpe_32k.model")
-    done = piece_encoding.decode(piece_encoding.encode(read(spark, sf_dir, "documents"), path), path)
+    done = piece_encoding.encode(read(spark, sf_dir, "documents"), path, decoded=True)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

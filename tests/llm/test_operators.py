@@ -1,6 +1,7 @@
 """Each operator against brute force on small tables that hold the awkward cases."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -14,6 +15,7 @@ pytest.importorskip("accordant.llm")
 from accordant.llm import best_fit_packing, chat_formatting, hash_forest, license_scans, ngram_jaccard, piece_encoding, quality_rules, secret_scans, substring_dedup, url_filters  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 DOCS = "doc_id long, text string, n_words long, component_id string"  # clashing extra columns
 
 
@@ -97,6 +99,19 @@ def test_every_link_is_found_once(spark, docs, texts, monkeypatch, cell):
         assert r.n_links == own[first.get(frozenset(shingles(dict(texts + group)[r.doc_id])))], r
 
 
+def test_ids_that_hold_several_texts(spark):
+    words = [f"v{i}" for i in range(90)]
+    a, b = " ".join(words[:40]), " ".join(words[50:])
+    rows = [(5, a), (5, b), (7, a + " more"), (9, b + " more"), (9, b + " more"), (11, b), (12, a.upper()), (13, "x " + a + " more"), (20, "other words"), (20, None), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.class_id, r.n_links) for r in ngram_jaccard.join(df).collect()}
+    assert got[7, 37] == (5, 7, 2) and got[9, 37] == (5, 9, 1) and got[11, 36] == (5, 5, 1) and got[12, 36] == (5, 5, 2) and got[13, 38] == (5, 13, 2)
+    assert got[20, 1] == (20, 20, 0) and got[20, 0] == (20, 20, 0) and got[None, 36] == (None, None, 0)
+    assert sorted((r.a, r.b) for r in ngram_jaccard.pairs(df).collect()) == [(5, 7), (5, 9), (5, 13), (7, 13)]
+    many = spark.createDataFrame([(5, f"{a} {i}") for i in range(30)], "doc_id long, text string")
+    assert {(r.component_id, r.n_links) for r in ngram_jaccard.join(many).collect()} == {(5, 29)}
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_t_occurrence_search_in_one_large_cell(seed):
     rng = np.random.default_rng(seed)
@@ -222,15 +237,50 @@ def test_license_scans(spark):
     assert license_scans.scan(rows.limit(0)).count() == 0
 
 
-def test_the_template_join_finds_what_a_scan_finds():
+def brute_license(text, templates, threshold, shingle=3):
+    """Every block of every template, token by token."""
+    words, best = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)), {}
+    grams = [tuple(words[i : i + shingle]) for i in range(len(words) - shingle + 1)]
+    for name, template in templates.items():
+        own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(template))
+        wanted = {tuple(own[i : i + shingle]) for i in range(len(own) - shingle + 1)}
+        for start in range(0, max(1, len(words)), len(own)):
+            held = wanted & set(grams[start : max(start, start + 2 * len(own) - shingle + 1)])
+            if 1000 * len(held) >= round(threshold * 1000) * len(wanted):
+                best[name] = max(best.get(name, 0), len(held) / len(wanted))
+    places = sorted((i, label) for phrase, label in license_scans.PHRASES.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split())
+    base = sorted({x for _, x in places})
+    return len(words), len(places), places[0][0] if places else None, places[-1][0] if places else None, ",".join(base), ",".join(sorted({*base, *best})), 1.0 if places else max(best.values(), default=0.0)
+
+
+def license_rows(found):
+    return sorted((r.doc_id or 0, (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score)) for r in found)
+
+
+def test_the_template_join_finds_what_a_scan_finds(spark):
     rng = random.Random(2)
-    vocabulary = [f"t{i}" for i in range(40)]
-    templates = {f"l{n}": " ".join(rng.choice(vocabulary) for _ in range(rng.randint(2, 25))) for n in range(12)}
-    index = license_scans.TemplateIndex(templates, {w: rng.randint(0, 50) for w in vocabulary}, 0.8)
-    for _ in range(500):
-        block = set(rng.sample(vocabulary, rng.randint(1, 35)))
-        wanted = {k: len(set(t.split()) & block) / len(set(t.split())) for k, t in templates.items()}
-        assert index.match_block(block) == {k: v for k, v in wanted.items() if v >= 0.8 - 1e-12}
+    vocabulary = [f"t{i}" for i in range(12)]
+    templates = {f"l{n}": " ".join(rng.choice(vocabulary) for _ in range(rng.randint(3, 25))) for n in range(12)}
+    texts = []
+    for _ in range(150):
+        own = rng.choice(list(templates.values())).split()
+        own = [w if rng.random() > 0.06 else rng.choice(vocabulary) for w in own]
+        texts.append(" ".join([rng.choice(vocabulary) for _ in range(rng.randint(0, 60))] + own + [rng.choice(vocabulary) for _ in range(rng.randint(0, 60))]))
+    rows = [(i, t) for i, t in enumerate(texts, 1)]
+    got = license_scans.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), templates=templates).collect()
+    assert license_rows(got) == [(i, brute_license(t, templates, 0.8)) for i, t in rows]
+    assert 20 < sum(bool(r.labels) for r in got) < 150
+
+
+def test_license_query_against_brute_force(spark):
+    found = license_scans.scan(spark.read.parquet(f"{SF}/documents.parquet"))
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert license_rows(found.collect()) == sorted((r.doc_id, brute_license(r.text, license_scans.TEMPLATES, 0.8)) for r in rows)
+
+
+@pytest.mark.parametrize("text", ["released under the Apache license", "copyright notice: all the rights of man reserved", "a licensed plumber asked for version 2 of the apache software", "mit dem Zug, under the bridge, a license to fish", "licensed under the general rules"])
+def test_words_of_licenses_in_other_order_are_none(spark, text):
+    assert license_scans.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().labels == ""
 
 
 def test_chat_formatting(spark):
