@@ -6,8 +6,9 @@ descends in each tree by bisection to the rows that share its longest prefix, th
 trees together: the least prefix length at which any tree still has unseen rows gives up its rows
 next, until the share of rows asked for has been seen. Distances to those rows are exact.
 
-The index is built in blocks of rows, every row in one, so a task holds one block and one batch of
-queries; a query's nearest of all blocks are merged. The hash functions come from a seed and a
+The index is built in blocks of rows, every row in one; a task builds the forest of a block once, from its
+sorted stream of rows, and the queries that follow stream past it a batch at a time, so it holds one block and
+one batch. A query's nearest of all blocks are merged. The hash functions come from a seed and a
 block's own rows, so no row is left out of the index and nothing is sent to all executors. Equal
 vectors are one entry that carries the least ids, as many as a result can show: a vector that a
 third of the rows share costs no more than any other.
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 TREES, BITS = 16, 48
-#: Rows of a block, queries of a batch.
-BLOCK_ROWS, BATCH_QUERIES = 4096, 4096
+#: Rows of a block.
+BLOCK_ROWS = 4096
 #: Share of a block's rows whose distances are computed for a query, at least.
 SHARE = 0.5
 #: Rows seen in a block at least, however small the share.
@@ -96,11 +97,11 @@ def valid(vector):
     return vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 10, share: float = SHARE, trees: int = TREES, bits: int = BITS, block_rows: int = BLOCK_ROWS, batch_queries: int = BATCH_QUERIES) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 10, share: float = SHARE, trees: int = TREES, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, `key`, score: the k nearest found of each query row (same columns as `vectors`)."""
 
     def own(df: DataFrame) -> DataFrame:
-        rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id is not null")
+        rows = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v")).where("id is not null")
         return rows.where(valid(F.col("v")))
 
     # One entry for equal vectors, with the least ids: k + 1, since a query's own is passed over.
@@ -112,23 +113,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     asked = materialise(own(queries).distinct())
 
     blocks = max(1, math.ceil(entries.count() / block_rows))
-    batches = max(1, math.ceil(asked.count() / batch_queries))
-    rows = entries.select(F.pmod(F.xxhash64("first"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(batches - 1))).alias("batch"), F.lit(False).alias("asks"), "ids", "v")
-    asks = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch"), F.lit(True).alias("asks"), F.array("id").alias("ids"), "v")
+    rows = entries.select(F.pmod(F.xxhash64("first"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asks"), "ids", "v")
+    asks = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), F.array("id").alias("ids"), "v")
 
-    def search(part: pd.DataFrame) -> pd.DataFrame:
+    def answers(forests: dict, wants: pd.DataFrame) -> pd.DataFrame:
         out = []
-        sizes = part["v"].map(len)
-        for _, group in part.groupby(sizes):
-            base, wants = group[~group["asks"].to_numpy(dtype=bool)], group[group["asks"].to_numpy(dtype=bool)]
-            if base.empty or wants.empty:
+        for size, group in wants.groupby(wants["v"].map(len)):
+            if size not in forests:
                 continue
-            x, ids = np.stack(base["v"].to_numpy()), base["ids"].to_list()
-            q = np.stack(wants["v"].to_numpy())
-            forest = Forest(x, trees, bits)
-            codes = forest.codes(q)
+            forest, x, ids = forests[size]
+            q = np.stack(group["v"].to_numpy())
             wanted = max(min(forest.n, LEAST), math.ceil(share * forest.n))
-            for n, (own_ids, seen) in enumerate(zip(wants["ids"].to_list(), forest.candidates(codes, wanted))):
+            for n, (own_ids, seen) in enumerate(zip(group["ids"].to_list(), forest.candidates(forest.codes(q), wanted))):
                 rows_ = np.flatnonzero(seen)
                 distance = np.sqrt(((x[rows_] - q[n]) ** 2).sum(axis=1))
                 if len(rows_) > k + 1:  # an entry has an id to give, but for the query's own alone
@@ -140,7 +136,27 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
                 out += [(me, i, d) for d, i in found]
         return pd.DataFrame(out, columns=["query_id", "id", "score"])
 
-    found = rows.unionByName(asks).groupBy("block", "batch").applyInPandas(search, "query_id long, id long, score double")
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, base, forests = None, [], {}
+        for batch in batches:
+            block, asks_ = batch["block"].to_numpy(), batch["asks"].to_numpy(dtype=bool)
+            edges = np.flatnonzero(np.concatenate(([True], (block[1:] != block[:-1]) | (asks_[1:] != asks_[:-1])))).tolist() if len(batch) else []
+            for a, b in zip(edges, [*edges[1:], len(batch)]):
+                if block[a] != now:
+                    now, base, forests = block[a], [], {}
+                if not asks_[a]:
+                    base.append(batch.iloc[a:b])
+                    continue
+                if base:
+                    whole, base = pd.concat(base), []
+                    for size, group in whole.groupby(whole["v"].map(len)):
+                        x = np.stack(group["v"].to_numpy())
+                        forests[size] = Forest(x, trees, bits), x, group["ids"].to_list()
+                yield answers(forests, batch.iloc[a:b])
+
+    # A block's rows, then its queries.
+    streamed = rows.unionByName(asks).repartition("block").sortWithinPartitions("block", "asks", F.col("ids")[0])
+    found = streamed.mapInPandas(search, "query_id long, id long, score double")
     best = found.groupBy("query_id", "id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id")).alias("rank")
     return best.select("query_id", rank, F.col("id").alias(key), "score").where(F.col("rank") <= k)

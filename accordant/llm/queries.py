@@ -49,7 +49,8 @@ def op5_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    values = ", ".join("('{}', '{}', '{}')".format(*rule) for rule in URL_RULES)
+    rules = spark.sql(f"select * from values {values} as rules(host, path, verdict)")
     return url_filters.judge_urls(read(spark, sf_dir, "pages"), rules)
 
 

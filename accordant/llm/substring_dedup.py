@@ -1,21 +1,23 @@
 """Substring dedup by recompression: words of long passages that an earlier document holds go.
 
-Words are named by 64-bit hashes. Rounds of recompression replace runs of one symbol, and pairs
+Words have two independent 64-bit names. Rounds of recompression replace runs of one symbol, and pairs
 whose first symbol falls on the left and whose second falls on the right side of a coin that
 depends on the symbol and the round alone, by new symbols named from their parts. Names are thus
-global without any exchange, and a passage gets the same interior symbols wherever it stands.
+global without an exchange a round, and a passage gets the same interior symbols wherever it stands.
 
 Two kinds of names leave the workers. Blocks are two neighbouring symbols of a window's length or
 more, with what stands between: a shared block covers every window inside it at once. Anchors see to it that nothing is missed: after the
 first round a symbol has two words at most, and whether two words are parted depends on these two
 alone, so every window contains chains of whole symbols of CHAIN or CHAIN + 1 words whose ends its own words
 determine; the least name of these chains is the window's anchor, the same for equal windows.
-Only windows whose anchor occurs in several documents, and that no block covers, are compared by
-their own 95-bit names, which verifies them.
+
+A shared name only reveals. What is removed is verified by 128 bits over the words themselves, half of them from each
+of the words' names: a block by its name and by a polynomial over its words, a window (whose anchor
+occurs in several documents, and that no block covers) by two sums over its words.
 
 Distribution. Names are aggregated in the worker before the shuffle: of the documents of a chunk
 that share a name only the least goes on, so a passage that a third of the documents hold is a few
-rows. Documents with the same words as an earlier one are settled by a digest. Texts are
+rows. Documents with the same words as an earlier one are settled by a digest of 128 bits. Texts are
 shuffled by document to meet their shared names, and again (the same exchange, where the plan
 allows) to meet the windows to remove.
 
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import chunks, materialise
-from .word_hashes import WordNames, factors, mix, window_names
+from .word_hashes import TwoNames, factors, mix, window_names
 
 WINDOW = 13
 #: Words of a chain, at least; a chain ends with the symbol that reaches it. WINDOW >= CHAIN + 4 keeps one in every window.
@@ -47,7 +49,8 @@ ROUNDS = 14
 #: Characters whose names are aggregated together in a worker.
 TOGETHER = 4_000_000
 _TOP = np.iinfo(np.uint64).max
-_PAIR, _RUN, _COIN, _BLOCK = factors(3, 21), factors(3, 22), factors(ROUNDS + 1, 23), factors(3, 24)
+_PAIR, _RUN, _COIN, _BLOCK, _BASE = factors(3, 21), factors(3, 22), factors(ROUNDS + 1, 23), factors(3, 24), factors(2, 25)
+_INVERSE = np.uint64(pow(int(_BASE[0]), -1, 1 << 64))
 #: A cover in one long: whether it is known, a part of the text's digest, the first window.
 _KNOWN, _DIGEST_BITS, _START_BITS = 1 << 62, 30, 32
 
@@ -140,9 +143,18 @@ class Recompressed:
         return out[:n]
 
 
-def _flat(names: WordNames, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _flat(names: TwoNames, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Both names of all words, their owners, and where each owner's begin."""
     sizes = np.array([len(w) for w in words], dtype=np.int64)
-    return names.of([w for own in words for w in own]), np.repeat(np.arange(len(words)), sizes), np.concatenate(([0], np.cumsum(sizes)))
+    return *names.of([w for own in words for w in own]), np.repeat(np.arange(len(words)), sizes), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def spans_names(names: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A name for each span of words: a polynomial over the words' names, whatever stands before it."""
+    powers = np.cumprod(np.full(len(names), _BASE[0], dtype=np.uint64), dtype=np.uint64)
+    back = np.cumprod(np.full(len(names), _INVERSE, dtype=np.uint64), dtype=np.uint64)
+    total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(names * powers, dtype=np.uint64)))
+    return mix((total[starts + lengths] - total[starts]) * back[starts] + lengths.astype(np.uint64) * _BASE[1])
 
 
 def _block_names(names: np.ndarray) -> np.ndarray:
@@ -152,13 +164,13 @@ def _block_names(names: np.ndarray) -> np.ndarray:
 def _named(rows: DataFrame, window: int) -> DataFrame:
     """name, doc, kind, salt: what each document might share.
 
-    kind 0: anchor; 1: block; 2: anchor shared within the chunk; 3: block that a lesser document of the
-    chunk holds. A name's least document in the chunk has salt 0 and is compared with other
+    kind 0: anchor; 1: block; 2: anchor shared within the chunk; 3: block shared within the chunk.
+    A name's least document in the chunk has salt 0 and is compared with other
     chunks'; the others are settled, and their salt spreads them.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, least = WordNames(), {}
+        names, least = TwoNames(), {}
         for batch in batches:
             keys, texts = batch["doc"].tolist(), batch["t"].tolist()
             for a, b in chunks(texts, TOGETHER):
@@ -177,7 +189,7 @@ def _named(rows: DataFrame, window: int) -> DataFrame:
                     words.append(own)
                 if not ids:
                     continue
-                flat, owner, _ = _flat(names, words)
+                flat, _, owner, _ = _flat(names, words)
                 made = Recompressed(flat, owner, window)
                 doc_of = np.array(ids, dtype=np.int64)
                 starts, anchors = made.windows(), made.anchors()
@@ -192,7 +204,7 @@ def _named(rows: DataFrame, window: int) -> DataFrame:
                 keep = new_name | np.concatenate(([True], doc[1:] != doc[:-1]))
                 found, doc, block, new_name = found[keep], doc[keep], block[keep], new_name[keep]
                 several = np.repeat(*(lambda at: (np.diff(at) > 1, np.diff(at)))(np.concatenate((np.flatnonzero(new_name), [len(found)]))))
-                kind = np.where(block, np.where(new_name, 1, 3), np.where(several, 2, 0)).astype(np.int32)
+                kind = (block + 2 * several).astype(np.int32)
                 salt = np.where(new_name, 0, doc)
                 by_doc = np.argsort(doc, kind="stable")  # equal ids beside each other compress in the shuffle
                 yield pd.DataFrame({"name": found.view(np.int64)[by_doc], "doc": doc[by_doc], "kind": kind[by_doc], "salt": salt[by_doc]})
@@ -200,8 +212,8 @@ def _named(rows: DataFrame, window: int) -> DataFrame:
     return rows.where("doc is not null").mapInPandas(run, "name long, doc long, kind int, salt long")
 
 
-#: h1 and h2 name a window by 95 bits; of a known run, h1 only spreads the rows and h2 is the number of windows.
-COVER_SCHEMA = "h1 long, h2 int, doc long, place long"
+#: h1 and h2 name `count` windows from `place` on by 128 bits; of windows that are known to be an earlier document's they only spread the rows.
+COVER_SCHEMA = "h1 long, h2 long, doc long, place long, count int"
 
 
 def short_digest(words: list[bytes]) -> int:
@@ -210,47 +222,61 @@ def short_digest(words: list[bytes]) -> int:
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
-    """Rows (doc, t, anchors, blocks) to windows that may be another document's, and runs of windows known to be."""
+    """Rows (doc, t, anchors, blocks, firsts) to windows and blocks that may be another document's, and runs of windows known to be.
+
+    `blocks` are a lesser document's too, so that windows inside them needn't be told; of `firsts` the
+    document is the least, and both they and their windows are.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = WordNames()
+        names = TwoNames()
         for batch in batches:
-            keys, texts, all_anchors, all_blocks = batch["doc"].tolist(), batch["t"].tolist(), batch["anchors"].tolist(), batch["blocks"].tolist()
-            chosen = [i for i, x in enumerate(all_anchors) if x is not None]  # others share nothing
-            keys, texts, all_anchors, all_blocks = ([x[i] for i in chosen] for x in (keys, texts, all_anchors, all_blocks))
+            keys, texts, *lists = (batch[c].tolist() for c in ("doc", "t", "anchors", "blocks", "firsts"))
+            chosen = [i for i, x in enumerate(lists[0]) if x is not None]  # others share nothing
+            keys, texts = [keys[i] for i in chosen], [texts[i] for i in chosen]
+            all_anchors, all_blocks, all_firsts = ([own[i].astype(np.int64).view(np.uint64) for i in chosen] for own in lists)
             for a, b in chunks(texts, TOGETHER):
                 words = [split_words(t) for t in texts[a:b]]
-                flat, owner, offsets = _flat(names, words)
+                flat, other, owner, offsets = _flat(names, words)
                 if not len(flat):
                     continue
                 made = Recompressed(flat, owner, window)
                 starts, anchors = made.windows(), made.anchors()
                 block_owner, block_names = owner[made.block_starts], _block_names(made.blocks)
-                known, open_ = np.zeros(len(flat) + 1, dtype=np.int64), np.zeros(len(flat), dtype=bool)
+                covered, open_, hits = np.zeros(len(flat) + 1, dtype=np.int64), np.zeros(len(flat), dtype=bool), []
                 for i in range(b - a):
                     lo, hi = offsets[i], offsets[i + 1]
+                    x, y = np.searchsorted(block_owner, [i, i + 1])
                     if len(all_blocks[a + i]):
-                        x, y = np.searchsorted(block_owner, [i, i + 1])
-                        hit = x + np.flatnonzero(np.isin(block_names[x:y], all_blocks[a + i].astype(np.int64).view(np.uint64)))
-                        known[made.block_starts[hit]] += 1
-                        known[made.block_starts[hit] + made.block_lengths[hit] - window + 1] -= 1
+                        hit = x + np.flatnonzero(np.isin(block_names[x:y], all_blocks[a + i]))
+                        hits.append(hit)
+                        covered[made.block_starts[hit]] += 1
+                        covered[made.block_starts[hit] + made.block_lengths[hit] - window + 1] -= 1
+                    if len(all_firsts[a + i]):
+                        hits.append(x + np.flatnonzero(np.isin(block_names[x:y], all_firsts[a + i])))
                     if len(all_anchors[a + i]):
-                        open_[lo:hi] = np.isin(anchors[lo:hi], all_anchors[a + i].astype(np.int64).view(np.uint64))
-                known = (np.cumsum(known[:-1]) > 0) & starts
+                        open_[lo:hi] = np.isin(anchors[lo:hi], all_anchors[a + i])
+                hit = np.concatenate(hits) if hits else np.empty(0, dtype=np.int64)
                 doc_of = np.array(keys[a:b], dtype=np.int64)
                 d_of = np.array([short_digest(w) for w in words], dtype=np.int64) << _START_BITS
-                at = np.flatnonzero(open_ & starts & ~known)
-                h1, h2 = (np.concatenate((window_names(flat, window, seed), np.zeros(window, dtype=np.uint64)))[at] for seed in (4, 5))
+                at = np.flatnonzero(open_ & starts & ~(np.cumsum(covered[:-1]) > 0))
+                pad = np.zeros(window, dtype=np.uint64)
+                h1 = np.concatenate((np.concatenate((window_names(flat, window, 4), pad))[at], block_names[hit]))
+                h2 = np.concatenate((np.concatenate((window_names(other, window, 5), pad))[at], spans_names(other, made.block_starts[hit], made.block_lengths[hit])))
+                count = np.concatenate((np.ones(len(at), dtype=np.int64), made.block_lengths[hit] - window + 1))
+                at = np.concatenate((at, made.block_starts[hit]))
                 # Within the chunk: what a lesser document holds too is known.
                 order = np.lexsort((doc_of[owner[at]], h2, h1))
-                at, h1, h2 = at[order], h1[order], h2[order]
+                at, h1, h2, count = at[order], h1[order], h2[order], count[order]
                 new = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))) if len(at) else np.empty(0, dtype=bool)
                 doc = doc_of[owner[at]]
-                lowest = doc[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] if len(at) else doc
-                later = doc > lowest
-                known[at[later]] = True
-                by_place = np.argsort(at[~later])  # places in order compress in the shuffle
-                at, h1, h2 = at[~later][by_place], h1[~later][by_place], h2[~later][by_place] >> np.uint64(33)
+                later = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] if len(at) else new
+                known = np.zeros(len(flat) + 1, dtype=np.int64)
+                np.add.at(known, at[later], 1)
+                np.add.at(known, at[later] + count[later], -1)
+                known = np.cumsum(known[:-1]) > 0
+                by_place = np.argsort(at[~later], kind="stable")  # places in order compress in the shuffle
+                at, h1, h2, count = (x[~later][by_place] for x in (at, h1, h2, count))
                 # Known windows as runs within a document.
                 edge = np.flatnonzero(known & np.concatenate(([True], ~known[:-1] | (owner[1:] != owner[:-1]))))
                 after = np.flatnonzero(known & np.concatenate((~known[1:] | (owner[1:] != owner[:-1]), [True])))
@@ -259,7 +285,8 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
                 own = owner[rows_]
                 place = d_of[own] + rows_ - offsets[own]
                 place[len(at) :] += _KNOWN
-                yield pd.DataFrame({"h1": np.concatenate((h1, spread)).view(np.int64), "h2": np.concatenate((h2.astype(np.int32), (after - edge + 1).astype(np.int32))), "doc": doc_of[own], "place": place})
+                both = {"h1": np.concatenate((h1, spread)).view(np.int64), "h2": np.concatenate((h2, np.zeros(len(edge), dtype=np.uint64))).view(np.int64)}
+                yield pd.DataFrame(both | {"doc": doc_of[own], "place": place, "count": np.concatenate((count, after - edge + 1)).astype(np.int32)})
 
     return rows.mapInPandas(run, COVER_SCHEMA)
 
@@ -296,17 +323,18 @@ def covered_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     of_name = Window.partitionBy("name", "salt")
     named = _named(rows, window).select("name", "doc", "kind", "salt", F.min("doc").over(of_name).alias("low"), F.max("doc").over(of_name).alias("high"))
-    shares = F.when(F.col("kind").isin(1, 3), (F.col("kind") == 3) | (F.col("doc") > F.col("low"))).otherwise((F.col("kind") == 2) | (F.col("low") < F.col("high")))
-    shared = named.where(shares).groupBy("doc").agg(
-        F.collect_set(F.when(F.col("kind").isin(0, 2), F.col("name"))).alias("anchors"),
-        F.collect_set(F.when(F.col("kind").isin(1, 3), F.col("name"))).alias("blocks"),
+    block, first = F.col("kind").isin(1, 3), (F.col("salt") == 0) & (F.col("doc") == F.col("low"))
+    shared = named.where((F.col("kind") >= 2) | (F.col("low") < F.col("high"))).groupBy("doc").agg(
+        F.collect_set(F.when(~block, F.col("name"))).alias("anchors"),
+        F.collect_set(F.when(block & ~first, F.col("name"))).alias("blocks"),
+        F.collect_set(F.when(block & first, F.col("name"))).alias("firsts"),
     )
-    # An outer join, as the last one is, so that both read one exchange of texts.
-    found = _windows(rows.join(shared, "doc", "left").select("doc", "t", "anchors", "blocks"), window)
+    # An outer join, as the last one is, so that both read one exchange of texts. A row without an id shares nothing.
+    found = _windows(rows.join(shared, "doc", "left").select(F.coalesce("doc", F.lit(0).cast("long")).alias("doc"), "t", "anchors", "blocks", "firsts"), window)
     low = F.min("doc").over(Window.partitionBy("h1", "h2"))
     known = F.col("place") >= _KNOWN
-    covers = found.select("doc", "h2", "place", known.alias("known"), low.alias("low")).where("known or doc > low")
-    covers = covers.select("doc", F.col("place").bitwiseAND(F.lit(_KNOWN - 1)).alias("place"), F.when(F.col("known"), F.col("h2").cast("long")).otherwise(F.lit(1).cast("long")).alias("count"))
+    covers = found.select("doc", "place", "count", known.alias("known"), low.alias("low")).where("known or doc > low")
+    covers = covers.select("doc", F.col("place").bitwiseAND(F.lit(_KNOWN - 1)).alias("place"), F.col("count").cast("long").alias("count"))
     d = F.col("d1").bitwiseAND(F.lit((1 << _DIGEST_BITS) - 1)) * F.lit(1 << _START_BITS)
     whole = copies.select("doc", d.alias("place"), (F.col("n") - window + 1).alias("count"))
     return covers.unionByName(whole).groupBy("doc").agg(F.collect_list(F.struct("place", "count")).alias("covers"))

@@ -47,7 +47,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     shape = table.agg(F.count("*").alias("n"), F.sort_array(F.collect_set("labels")).alias("labels"), F.sort_array(F.collect_set("path_length")).alias("lengths")).first()
 
     host, path = split_url(F.col("u"))
-    urls = pages.select(F.col(key).alias("k"), F.col(url).alias("u")).select("k", host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
+    urls = pages.select(F.col(f"`{key}`").alias("k"), F.col(f"`{url}`").alias("u")).select("k", host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
     parts = F.split("host", r"\.", -1)
     suffixes = F.filter(F.array(*[F.when(F.size(parts) >= n, F.array_join(F.slice(parts, -n, n), ".")) for n in shape["labels"]]).cast("array<string>"), lambda x: x.isNotNull())
     prefixes = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in shape["lengths"]]).cast("array<string>"), lambda x: x.isNotNull())

@@ -46,6 +46,28 @@ class WordNames(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+class TwoNames(dict):
+    """Two independent 64-bit names of each word (bytes), remembered up to a bound: of each its place in `digests`."""
+
+    MOST = 300_000
+
+    def __init__(self):
+        self.digests = bytearray()
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self)
+        self.digests += blake2b(word, digest_size=16).digest()
+        return at
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self) > self.MOST:
+            self.clear()
+            self.digests = bytearray()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        both = np.frombuffer(bytes(self.digests), dtype="<u8").reshape(-1, 2)
+        return both[at, 0], both[at, 1]
+
+
 def window_names(names: np.ndarray, width: int, seed: int) -> np.ndarray:
     """Name of the window of `width` words that starts at each place (none at the last width - 1)."""
     n = len(names) - width + 1

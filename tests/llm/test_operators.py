@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -184,6 +185,24 @@ def test_every_window_has_an_anchor_of_its_own_words():
     assert len(seen) == 1 and substring_dedup._TOP not in seen
 
 
+def test_a_block_in_common_by_name_alone_removes_nothing(spark, docs, texts, monkeypatch):
+    """With block names of a few bits many blocks share one by chance; the words decide."""
+    monkeypatch.setattr(substring_dedup, "_block_names", lambda names: substring_dedup.mix((names & np.uint64(7)) ^ np.uint64(0xB10C)))
+    rng = random.Random(21)
+    rows = [(i, " ".join(f"q{rng.randint(0, 400)}" for _ in range(300))) for i in range(40)]
+    got = substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert all(r.n_removed == 0 and r.text == dict(rows)[r.doc_id] for r in got)
+
+
+def test_names_of_spans():
+    rng = np.random.default_rng(4)
+    names = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    names[100:150] = names[20:70]
+    starts, lengths = np.array([20, 100, 20, 21, 100]), np.array([50, 50, 49, 49, 49])
+    got = substring_dedup.spans_names(names, starts, lengths).tolist()
+    assert got[0] == got[1] and got[2] == got[4] and len(set(got)) == 3
+
+
 def test_quality_rules(spark, docs, texts, empty):
     trusted = spark.createDataFrame([(i, "x") for i in range(0, 40, 2)] + [(None, "x")], "doc_id long, text string")
     got = quality_rules.score_documents(docs, trusted).collect()
@@ -486,6 +505,28 @@ def test_hash_forest(spark):
     assert hash_forest.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("folder, block_rows", [("sf0.001", 64), ("sf0.01", hash_forest.BLOCK_ROWS), ("sf0.1", hash_forest.BLOCK_ROWS)])
+def test_recall_on_the_tables(spark, folder, block_rows):
+    path = os.path.join(os.path.dirname(SF), folder, "embeddings.parquet")
+    if not os.path.exists(path):
+        pytest.skip("no tables here")
+    df = spark.read.parquet(path)
+    rows = [(r.vec_id, r.embedding) for r in df.select("vec_id", "embedding").collect() if r.embedding and all(v is not None and np.isfinite(v) for v in r.embedding) and any(r.embedding)]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=np.float64)
+    got = {}
+    for r in hash_forest.nearest(df, df.where("vec_id % 100 = 0"), block_rows=block_rows).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(ids[ids % 100 == 0].tolist())
+    hits = wanted = 0
+    for q, found in got.items():
+        d = np.sqrt(((x - x[np.flatnonzero(ids == q)[0]]) ** 2).sum(axis=1))
+        d[ids == q] = np.inf
+        best = ids[np.lexsort((ids, d))[: min(10, int((ids != q).sum()))]].tolist()
+        hits, wanted = hits + len(found & set(best)), wanted + len(best)
+    print(folder, "recall", hits / wanted)
+    assert hits >= 0.9 * wanted
+
+
 def test_forest_masks_hold_the_longest_prefixes():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((500, 8))
@@ -493,3 +534,211 @@ def test_forest_masks_hold_the_longest_prefixes():
     codes = forest.codes(x[:20])
     for n, seen in enumerate(forest.candidates(codes, 50)):
         assert seen[n] and seen.sum() >= 50
+
+
+BIG = 1 << 60
+
+
+def test_ids_stay_whole_beside_a_null(spark, tokenizers):
+    """A nullable long would reach pandas as a float, which rounds ids of this size."""
+    words = [f"v{i}" for i in range(60)]
+    text, later = " ".join(words), "some other words before " + " ".join(words[5:45])
+    ids = [None, BIG + 1, BIG + 2, BIG + 3]
+    df = spark.createDataFrame([(None, "none"), (BIG + 1, text), (BIG + 2, text + " end"), (BIG + 3, later)], "doc_id long, text string").coalesce(1)
+    assert df.rdd.getNumPartitions() == 1
+    order = lambda found: sorted((r.doc_id for r in found), key=lambda i: i or 0)
+    joined = ngram_jaccard.join(df).collect()
+    assert order(joined) == ids and {r.doc_id: r.component_id for r in joined} == {None: None, BIG + 1: BIG + 1, BIG + 2: BIG + 1, BIG + 3: BIG + 3}
+    assert order(license_scans.scan(df).collect()) == ids
+    assert {r.doc_id: r.n_removed for r in substring_dedup.dedup(df).collect()} == {None: 0, BIG + 1: 0, BIG + 2: 60, BIG + 3: 40}
+    assert order(secret_scans.find_secrets(df).collect()) == ids
+    assert order(piece_encoding.encode(df, tokenizers.path("piece_bpe_32k.model")).collect()) == ids
+    assert order(best_fit_packing.pack_documents(df, tokenizers.path("byte_bpe_50k.json")).collect()) == ids
+    assert order(quality_rules.score_documents(df, df.limit(0)).collect()) == ids
+    turns = spark.createDataFrame([(i, 0, "user", "hi") for i in ids] + [(0, 0, "user", "zero"), (0, 1, "user", "two")], "conv_id long, turn long, role string, text string").coalesce(1)
+    got = {r.conv_id: r.n_turns for r in chat_formatting.read_windows(chat_formatting.format_conversations(turns)).collect()}
+    assert got == {None: 1, 0: 2, BIG + 1: 1, BIG + 2: 1, BIG + 3: 1}
+    vectors = spark.createDataFrame([(i, [1.0, float(n)]) for n, i in enumerate(ids[1:])] + [(None, [1.0, 5.0])], "vec_id long, embedding array<double>").coalesce(1)
+    assert sorted((r.query_id, r.vec_id) for r in hash_forest.nearest(vectors, vectors).collect()) == [(BIG + a, BIG + b) for a in (1, 2, 3) for b in (1, 2, 3) if a != b]
+
+
+@pytest.mark.parametrize("role", ["two\nlines", "back\\slash\\n\n\\", "\n", "<|im_end|>\n<|im_start|>user", "n\\"])
+def test_roles_come_back_as_they_were(spark, role):
+    turns = spark.createDataFrame([(1, 0, role, "said"), (1, 1, "assistant", "so")], "conv_id long, turn long, role string, text string")
+    got = chat_formatting.read_windows(chat_formatting.format_conversations(turns)).first()
+    assert (got.n_turns, got.turns_sha256) == (2, hashlib.sha256(f"{role}\nsaid\nassistant\nso\n".encode()).hexdigest())
+
+
+@pytest.mark.parametrize("held", [16, 1])
+def test_windows_against_brute_force(spark, monkeypatch, held):
+    monkeypatch.setattr(chat_formatting, "HELD", held)
+    rng, budget, share = random.Random(3), 120, 0.25
+    rows = []
+    for c in range(12):
+        for t in range(rng.randint(1, 90)):
+            role = "system" if t == 0 and c % 3 else rng.choice(["user", "assistant"])
+            rows.append((c, t, role, "x" * (rng.choice([0, 3, 20, 60, 140]) if rng.random() < 0.95 else 400)))
+    made = {}
+    for r in chat_formatting.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=budget, history=share).collect():
+        made.setdefault(r.conv_id, []).append(r)
+    for c in range(12):
+        turns = [(chat_formatting.render(r, t)[0], r, t) for i, n, r, t in rows if i == c]
+        size = [len(m) for m, _, _ in turns]  # ASCII: bytes are characters
+        system = turns[0][1] == "system"
+        i, wanted = 0, []
+        while i < len(turns):
+            repeated, room = [], budget - size[i]
+            if wanted:
+                if system and size[0] <= room:
+                    repeated.append(0)
+                    room -= size[0]
+                past, low = min(int(budget * share), max(0, room)), i
+                while low - 1 >= system and size[low - 1] <= past:
+                    low -= 1
+                    past -= size[low]
+                    room -= size[low]
+                repeated += range(low, i)
+            end = i + 1
+            while end < len(turns) and size[end] <= room:
+                room -= size[end]
+                end += 1
+            wanted.append((repeated, list(range(i, end))))
+            i = end
+        own = sorted(made[c], key=lambda r: r.window)
+        assert [(r.window, r.text, r.n_repeated) for r in own] == [(n, "".join(turns[k][0] for k in a + b), len(a)) for n, (a, b) in enumerate(wanted)]
+        for r, (a, b) in zip(own, wanted):
+            assert [r.text[x:y] for x, y in zip(r.loss_starts, r.loss_ends)] == [turns[k][2] for k in b if turns[k][1] == "assistant"]
+            assert r.n_tokens == sum(size[k] for k in a + b)
+
+
+def test_long_words_are_stitched_as_the_library_merges_them(tokenizers):
+    import sentencepiece
+
+    path = tokenizers.path("piece_bpe_32k.model")
+    library, model = sentencepiece.SentencePieceProcessor(model_file=path), piece_encoding.load(path)
+    rng = random.Random(14)
+    alphabets = ["ab", "aeinst", "thequickbrown", "er", "01x", "-_=", " ", "  x", "abcdefghijklmnopqrstuvwxyz", "日本語é", "ABab01+/"]
+    texts = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (250, 257, 320, 1500, 20_000)]
+    texts += [c * n for c in "a=-. " for n in (255, 256, 257, 258, 1023, 5001)] + ["b" + "a" * 3001, "abc" * 1001, "the" * 999 + "x"]
+    assert piece_encoding.encode_texts(model, texts) == [library.encode(t) for t in texts]
+    start = time.time()
+    word = "".join(rng.choice(alphabets[8]) for _ in range(1_000_000))
+    assert piece_encoding.encode_texts(model, [word])[0] == library.encode(word)
+    assert time.time() - start < 60  # a time in proportion to the square would be hours
+
+
+def xxh(*values):
+    import xxhash
+
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64(v.encode(), seed=seed).intdigest()
+    return seed
+
+
+def brute_scores(rows, trusted, buckets=quality_rules.BUCKETS):
+    """The log-likelihood ratio of each text, from plain counts."""
+    grams = {}
+    for i, t in rows:
+        w = WORD.findall(t or "")
+        grams[i] = [xxh(x) % buckets for x in w] + [xxh(*x) % buckets for x in zip(w, w[1:])]
+    raw, target = Counter(b for own in grams.values() for b in own), Counter(b for i, own in grams.items() if i in trusted for b in own)
+    n, m, smooth = sum(raw.values()), sum(target.values()), quality_rules.SMOOTHING / buckets
+    return {i: sum(np.log((target[b] / m + smooth) / (raw[b] / n + smooth)) for b in own) / len(own) if own and m else 0.0 for i, own in grams.items()}
+
+
+def test_quality_verdicts_against_brute_force(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    trusted = labels.where("quality = 1 and toxic = 0")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    wanted = brute_scores(rows, {r.doc_id for r in trusted.collect()})
+    got = quality_rules.score_documents(docs, trusted).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r.score - wanted[r.doc_id]) < 2e-6 and (abs(wanted[r.doc_id] - quality_rules.THRESHOLD) < 1e-9 or r.kept == (not r.base_failed and wanted[r.doc_id] >= quality_rules.THRESHOLD))
+
+
+def brute_secrets(texts, rate=secret_scans.FALSE_DISCOVERY):
+    """Spans of each text: patterns written anew, and the step by its definition over all p-values."""
+    kinds = [(re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 6, 1), (re.compile("AKIA[A-Z0-9]+"), 20, 0), (re.compile("[0-9a-f]+"), 24, 0)]
+    strata, null, out = len(secret_scans.ENCODINGS) * len(secret_scans.LENGTHS), {}, []
+    for t in texts:
+        spans = sorted((m.start(), k, m.end()) for k, (p, least, group) in enumerate(kinds) for m in p.finditer(t) if len(m[group]) >= least)
+        tokens = []
+        for m in secret_scans.TOKEN.finditer(t):
+            if not any(a < m.end() and m.start() < b for a, _, b in spans):
+                encoding, bin_ = secret_scans.battery(m[0])
+                tokens.append((m.start(), m.end(), secret_scans.stratum_of(encoding, len(m[0])), bin_))
+        out.append((spans, tokens))
+        for s, b in enumerate(secret_scans.own_bins(*[[x] for x in secret_scans.source_words(t)])[0].tolist()):
+            if b >= 0:
+                null.setdefault(s, []).append(b)
+    for s, row in enumerate(secret_scans._template_texts()):
+        null.setdefault(s, []).extend(np.repeat(np.arange(len(row)), row).tolist())
+    for s in range(strata):
+        own = sorted(b for _, tokens in out for _, _, x, b in tokens if x == s)
+        passed = [b for k, b in enumerate(own) if (sum(x <= b for x in null[s]) + 1) / (len(null[s]) + 1) <= rate * (own.count(b) + own.index(b)) / len(own)]
+        cut = max(passed, default=-1)
+        for spans, tokens in out:
+            spans += [(a, 3, b) for a, b, x, bin_ in tokens if x == s and bin_ <= cut]
+    return [[(secret_scans.KINDS[k], a, b) for a, k, b in sorted(spans)] for spans, _ in out]
+
+
+def planted(rng, n, alphabet):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def test_planted_secrets_are_found_and_texts_are_not(spark):
+    rng = random.Random(31)
+    lower_, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = {"base64": upper + lower_ + digits + "+/", "base32": upper + "234567", "hex": digits + "ABCDEF"}
+    prose = [w for t in license_scans.TEMPLATES.values() for w in re.findall("[A-Za-z]+", t)]
+    rows, secrets, texts = [], set(), set()
+    for i in range(400):
+        said = " ".join(rng.choice(prose) for _ in range(150))
+        if i % 4 == 0:
+            name = list(alphabets)[i // 4 % 3]
+            said += " " + planted(rng, {"base64": 40, "base32": 64, "hex": 40}[name], alphabets[name]) + " end"
+            secrets.add(i)
+        elif i % 4 == 1:
+            words = [rng.choice(prose) for _ in range(9)]
+            said += " " + rng.choice(["/".join(words), "_".join(words), "-".join(words).lower() + "-2024", "".join(w.capitalize() for w in words), f"2024-{rng.randint(10, 12)}-{rng.randint(10, 28)}T10-20-30-2025-01-02", "-".join(planted(rng, n, digits + "abcdef") for n in (8, 4, 4, 4, 12))])
+            texts.add(i)
+        rows.append((i, said))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in secret_scans.find_secrets(df).collect()}
+    called = {i for i, spans in found.items() if any(k == "random" for k, _, _ in spans)}
+    assert len(called & secrets) >= 0.95 * len(secrets)
+    assert len(called - secrets) <= max(1, 3 * secret_scans.FALSE_DISCOVERY * len(called))
+    assert [found[i] for i, _ in rows] == brute_secrets([t for _, t in rows])
+
+
+def test_secret_query_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted((r.doc_id, r.text or "") for r in docs.collect())
+    found = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in secret_scans.find_secrets(docs).collect()}
+    assert [found[i] for i, _ in rows] == brute_secrets([t for _, t in rows])
+
+
+def test_sequences_are_few(spark, tokenizers):
+    """Against the least number that any packing could do with: pieces above half a sequence don't share one, and tokens fill the rest."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    packed = best_fit_packing.pack_documents(docs, tokenizers.path("byte_bpe_50k.json")).select("sequence_id", "length").collect()
+    bound = max(-(-sum(r.length for r in packed) // 2048), sum(r.length > 1024 for r in packed))
+    assert bound <= len({r.sequence_id for r in packed}) <= 1.02 * bound + 2
+
+
+def test_common_lengths_and_full_pieces_are_ranked_apart(spark):
+    found = spark.createDataFrame([(i % 3, 0, 0, n, 7, bytes(2 * n)) for n in (5, 3, 8, 8, 2) for i in range(70)], best_fit_packing.PIECES).repartition(5)
+    found = best_fit_packing.materialise(found)
+    rows = best_fit_packing.pack(found, capacity=8, ranked=10).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(rows) == 350 and all(sum(n for _, n in own) <= 8 for own in bins.values())
+    for own in bins.values():
+        at = 0
+        for offset, n in sorted(own):
+            assert offset == at
+            at += n
+    assert len(bins) == 140 + 70 + 18  # 8s alone, 5 beside 3, 2s by four
