@@ -83,7 +83,6 @@ SYNONYMS = {
     "created_date": ["Created Date", "Create Date", "CreatedOn", "Created_On"],
     "suffix_class": ["Suffix", "Company Suffix", "Entity Type"],
 }
-TEMPLATES = [(r"^company_junction_.*\.csv$", {"account_name": ["Account Name"], "account_id": ["Account ID"], "created_date": ["Created Date"]})]
 
 
 @dataclass(frozen=True)
@@ -102,18 +101,18 @@ class Settings:
     shard_strategy: str = "second_token"
     fallback_shard: str = "char_trigram"
     max_shard_size: int = 200
-    block_cap: int = 800
+    block_cap: int | None = 800  # None: blocks are never sharded
     char_bigram_gate: float = 0.1
     length_window: int = 150
     min_token_overlap: int = 1
-    max_candidates: int = 50
+    max_candidates: int | None = 50  # of a record in a soft-banned shard; None: all
     edge_gating: bool = True
     canopy_enabled: bool = True
     canopy_bound: int = 8
     allow_medium_plus_shared: bool = True
     union_order: str = "descending"
     tie_breakers: tuple = ("created_date", "account_id")
-    max_alias_pairs: int = 100_000
+    max_alias_pairs: int | None = None  # the best so many of all matches; None: all
     blacklist_tokens: tuple = tuple(BLACKLIST_TOKENS)
     blacklist_phrases: tuple = tuple(BLACKLIST_PHRASES)
     suspicious: str = SUSPICIOUS

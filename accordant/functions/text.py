@@ -136,6 +136,11 @@ def valid_id(account_id) -> Column:
     return F.coalesce(_col(account_id).rlike("^(?:[A-Za-z0-9]{15}|[A-Za-z0-9]{18})$"), F.lit(False))
 
 
+def content_hash(content) -> Column:
+    """SHA-256 of a text that line ends and trailing blanks don't change."""
+    return F.sha2(F.regexp_replace(F.regexp_replace(_col(content), "\r\n|\r", "\n"), r"\s+\z", ""), 256)
+
+
 def parse_date(value) -> Column:
     """Strings in four formats, else a generic cast, else an Excel serial number; fractions of days are kept."""
     c = F.trim(_col(value).cast("string"))

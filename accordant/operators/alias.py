@@ -14,8 +14,8 @@ def alias_matches(records: DataFrame, groups: DataFrame, settings: Settings = DE
     """record_id, alias_text, alias_source, match_record_id, match_group_id, score, suffix_match.
 
     Candidates share the alias's first token and the record's suffix class; the score is the token sort
-    ratio of the normalised alias and the other's core, kept from the high threshold on. The setting's
-    number of best pairs is the table's limit.
+    ratio of the normalised alias and the other's core, kept from the high threshold on; where the
+    settings say how many, the best of all.
     """
     s = settings
     told = records.select(F.col("account_id").alias("record_id"), "suffix_class", F.explode("aliases").alias("x"))
@@ -29,8 +29,9 @@ def alias_matches(records: DataFrame, groups: DataFrame, settings: Settings = DE
     ids = groups.select(F.col("account_id").alias("match_record_id"), "group_id")
     found = found.join(ids, "match_record_id", "left").withColumn("match_group_id", F.coalesce("group_id", F.lit("")))
     out = found.select("record_id", "alias_text", "alias_source", "match_record_id", "match_group_id", "score", F.lit(True).alias("suffix_match"))
-    best = out.orderBy(F.desc("score"), "record_id", "match_record_id", "alias_text", "match_group_id").limit(s.max_alias_pairs)
-    return best.orderBy("record_id", "match_record_id", "alias_text", "match_group_id")
+    if s.max_alias_pairs is not None:
+        out = out.orderBy(F.desc("score"), "record_id", "match_record_id", "alias_text", "match_group_id").limit(s.max_alias_pairs)
+    return out.orderBy("record_id", "match_record_id", "alias_text", "match_group_id")
 
 
 def cross_references(matches: DataFrame) -> DataFrame:

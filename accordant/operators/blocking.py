@@ -53,7 +53,7 @@ def blocks(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     by_bigram = slim.withColumn("block_key", bigram_key("name_core", s.allow_bigrams)).withColumn("pass", F.lit("bigram"))
     rows = by_token.unionByName(by_bigram).where("block_key <> ''")
     rows = rows.withColumn("block_size", _count("block_key", "pass")).where("block_size > 1")
-    large = F.col("block_size") > s.block_cap
+    large = F.lit(False) if s.block_cap is None else F.col("block_size") > s.block_cap
     strategy = (
         F.when(F.col("pass") == "bigram", F.when(large, "allowlisted_bigram_sharded").otherwise("allowlisted_bigram"))
         .when(F.col("block_key").isin(list(s.allow_tokens)), F.when(large, "allowlisted_sharded").otherwise("allowlisted"))
@@ -62,7 +62,7 @@ def blocks(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         .otherwise(F.lit("full_pairs"))
     )
     rows = rows.withColumn("strategy", strategy)
-    cap = F.when(F.col("strategy") == "soft_ban_sharded", F.lit(s.max_shard_size)).otherwise(F.lit(s.block_cap))
+    cap = F.when(F.col("strategy") == "soft_ban_sharded", F.lit(s.max_shard_size)).otherwise(F.lit(s.block_cap or 0))
     return _shards(rows, s.shard_strategy, s.fallback_shard, cap)
 
 
@@ -78,7 +78,9 @@ def _pairs_with_blocks(blocked: DataFrame, settings: Settings) -> DataFrame:
     passed = pairs.where(~soft)
     # Only soft-banned blocks rank their candidates: what passed the filters, in row order, up to the setting's number.
     rank = F.row_number().over(Window.partitionBy("block_key", "pass", "shard", "row_seq_a").orderBy("row_seq_b"))
-    capped = pairs.where(soft & near & shared & alike).withColumn("nth", rank).where(F.col("nth") <= s.max_candidates).drop("nth")
+    capped = pairs.where(soft & near & shared & alike)
+    if s.max_candidates is not None:
+        capped = capped.withColumn("nth", rank).where(F.col("nth") <= s.max_candidates).drop("nth")
     return passed.unionByName(capped)
 
 
@@ -94,7 +96,11 @@ def block_stats(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """token, count, strategy, pairs_generated, pairs_capped of each block."""
     blocked = blocks(records, settings)
     sizes = blocked.groupBy("block_key", "pass", "strategy").agg(F.count("*").alias("count"))
-    made = _pairs_with_blocks(blocked, settings).groupBy("block_key", "pass").agg(F.count("*").alias("pairs_generated"))
+    # All pairs of a shard are its size's; only soft-banned shards have to be joined to be counted.
+    soft = F.col("strategy") == "soft_ban_sharded"
+    whole = blocked.where(~soft).groupBy("block_key", "pass", "shard").agg(F.count("*").alias("n")).select("block_key", "pass", F.expr("n * (n - 1) div 2").alias("pairs"))
+    some = _pairs_with_blocks(blocked.where(soft), settings).select("block_key", "pass", F.lit(1).cast("long").alias("pairs"))
+    made = whole.unionByName(some).groupBy("block_key", "pass").agg(F.sum("pairs").alias("pairs_generated"))
     out = sizes.join(made, ["block_key", "pass"], "left").withColumn("pairs_generated", F.coalesce("pairs_generated", F.lit(0)))
     capped = F.when(F.col("strategy") == "soft_ban_sharded", F.greatest(F.lit(0), F.expr("count * (count - 1) div 2") - F.col("pairs_generated"))).otherwise(F.lit(0))
     return out.select(F.col("block_key").alias("token"), "count", "strategy", "pairs_generated", capped.cast("long").alias("pairs_capped"))
@@ -122,11 +128,11 @@ def explain_token(records: DataFrame, token: str, settings: Settings = DEFAULTS)
     return own.groupBy("block_key", "pass", "strategy", "shard").agg(F.count("*").alias("count"))
 
 
-def brand_suggestions(stats: DataFrame, min_count: int = 10, min_rate: float = 0.6) -> DataFrame:
+def brand_suggestions(stats: DataFrame, min_count: int = 10, min_rate: float = 0.6, sure_rate: int = 100, sure_count: int = 50) -> DataFrame:
     """Tokens frequent enough to allow-list, by confidence."""
-    rate = F.least(F.lit(1.0), F.col("count") / 100)
-    confidence = 0.5 * F.least(F.lit(1.0), F.col("count") / 50) + 0.5 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), (rate - 0.5) / 0.5))
-    return stats.select("token", "count", rate.alias("singleton_rate"), confidence.alias("confidence")).where((F.col("count") >= min_count) & (F.col("singleton_rate") >= min_rate))
+    rate = F.least(F.lit(1.0), F.col("count") / sure_rate)
+    confidence = 0.5 * F.least(F.lit(1.0), F.col("count") / sure_count) + 0.5 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), (rate - 0.5) / 0.5))
+    return stats.select("token", "count", rate.alias("singleton_rate"), confidence.alias("confidence")).where((F.col("count") >= min_count) & (F.col("singleton_rate") >= min_rate)).orderBy(F.desc("confidence"), "token")
 
 
 def allowlist_suggestions(stats: DataFrame, n: int = 20) -> DataFrame:

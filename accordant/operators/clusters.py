@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accordant.operators.graph import components
+from accordant.plans.materialise import materialise
 
 
 def _check(threshold: float, policy: str, min_size: int) -> None:
@@ -60,13 +61,16 @@ def build_clusters(ids: DataFrame, pairs: DataFrame, threshold: float, policy: s
         inside = near.join(label.withColumnRenamed("node", "a"), "a").select("label", "a", "b")
         alone = everyone.select("label", F.col("id").alias("a"), F.col("id").alias("b"))
         rows = inside.unionByName(alone).groupBy("label").applyInPandas(run, f"id {kind}, root {kind}")
-    roots = rows.select("root").distinct().withColumn("cluster_id", _dense(F.col("root")))
-    return rows.join(roots, "root").select("id", "cluster_id")
+    return rows.join(_numbered(rows.select("root").distinct()), "root").select("id", "cluster_id")
 
 
-def _dense(column):
-    # One row per cluster is ranked, not one per record.
-    return (F.row_number().over(Window.orderBy(column)) - 1).cast("int")
+def _numbered(roots: DataFrame) -> DataFrame:
+    """`roots` with dense ids in their order: numbered within ranges of roots, from where the ranges before end."""
+    ranged = materialise(roots.repartitionByRange("root").withColumn("range", F.spark_partition_id()))
+    ends = ranged.groupBy("range").agg(F.count("*").alias("n"))  # a row a partition
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(Window.partitionBy("range").orderBy("root")) - 1
+    return ranged.withColumn("own", own).join(ends.select("range", before.alias("before")), "range").select("root", (F.col("before") + F.col("own")).cast("int").alias("cluster_id"))
 
 
 def outliers(ids: DataFrame, clusters: DataFrame) -> DataFrame:

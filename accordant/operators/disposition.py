@@ -47,12 +47,13 @@ def group_metadata(groups: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     )
 
 
-def classify(groups: DataFrame, settings: Settings = DEFAULTS, overrides: DataFrame | None = None, strict: bool = False, manual_terms: list[str] = (), last_reason_wins: bool = False) -> DataFrame:
+def classify(groups: DataFrame, settings: Settings = DEFAULTS, overrides: DataFrame | None = None, strict: bool = False, manual_terms: list[str] = (), last_reason_wins: bool = False, alias_details: bool = False) -> DataFrame:
     """`groups` with disposition and disposition_reason.
 
     Needs account_id, account_name, group_id, suffix_class, is_primary and has_multiple_names;
     alias_cross_refs where it exists. `overrides` (account_id, override) comes before every rule. The reason is the
-    first rule's that holds; `last_reason_wins` gives the compatible order in which later rules overwrite.
+    first rule's that holds; `last_reason_wins` gives the compatible order in which later rules overwrite, and
+    `alias_details` a reason that counts the aliases' groups and lists their sources.
     """
     name = F.col("account_name")
     whole = Window.partitionBy("group_id")
@@ -76,6 +77,10 @@ def classify(groups: DataFrame, settings: Settings = DEFAULTS, overrides: DataFr
     ]
     disposition = _chain([(c, F.lit(d)) for c, d, _ in rules], "Keep")
     reason = _chain([(c, F.lit(r)) for c, _, r in (reversed(rules) if last_reason_wins else rules)], "unknown")
+    if alias_details and "alias_cross_refs" in groups.columns:
+        sources = F.sort_array(F.array_distinct(F.transform("alias_cross_refs", lambda x: F.concat(F.lit("'"), F.coalesce(x["source"], F.lit("")), F.lit("'")))))
+        told = F.concat(F.lit("alias_matches_"), F.size("alias_cross_refs").cast("string"), F.lit("_groups_via_["), F.array_join(sources, ", "), F.lit("]"))
+        reason = F.when(reason == "alias_matches_detected", told).otherwise(reason)
     if overrides is not None:
         rows = rows.join(overrides.select("account_id", F.col("override").alias("_override")), "account_id", "left")
         forced = F.col("_override").isNotNull()

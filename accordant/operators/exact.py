@@ -30,8 +30,9 @@ def exact_star(mapped: DataFrame) -> DataFrame:
     return mapped.where("account_id <> representative_id").select(F.col("representative_id").alias("id_a"), F.col("account_id").alias("id_b"), F.lit(100.0).alias("score"), F.lit("exact_equal_raw").alias("group_join_reason"), "raw_exact_key")
 
 
-def exact_pairs(mapped: DataFrame, largest: int = 1000) -> DataFrame:
-    """All pairs of each group of up to `largest` members, for the audit table; beyond that the star stands for them."""
+def exact_pairs(mapped: DataFrame, largest: int | None = 1000) -> DataFrame:
+    """All pairs of each group of up to `largest` members, for the audit table; beyond that the star stands for them. None: all pairs of every group."""
+    largest = (1 << 62) if largest is None else largest
     small = mapped.where(F.col("group_size") <= largest)
     a = small.select("raw_exact_key", F.col("account_id").alias("id_a"))
     b = small.select("raw_exact_key", F.col("account_id").alias("id_b"))

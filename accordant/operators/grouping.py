@@ -116,15 +116,16 @@ def group_id(members, config_hash: str):
     return F.substring(F.sha1(F.concat(F.lit(f'{{"config_hash":"{config_hash}","members":'), F.to_json(F.array_sort(members)), F.lit("}"))), 1, 10)
 
 
-def create_groups(accounts: DataFrame, candidates: DataFrame, settings: Settings = DEFAULTS, mode: str = "components", exact: DataFrame | None = None) -> DataFrame:
+def create_groups(accounts: DataFrame, candidates: DataFrame, settings: Settings = DEFAULTS, mode: str | None = None, exact: DataFrame | None = None) -> DataFrame:
     """`accounts` with group_id, group_size, is_primary, group_join_reason, weakest_edge_to_primary and shared_tokens_count.
 
     mode "components" takes the connected components of gated edges, which is the ordered result
-    whenever the canopy bound rejects nothing. "ordered" replays unions by score inside each gated
-    component, whose pairs can't touch another's, for the bound. Exact-equal edges come first in
-    both. Account ids must be unique and not null.
+    where the canopy bound is off. "ordered" replays unions by score inside each gated component, whose
+    pairs can't touch another's, for the bound: a component is one task's. Without a mode the settings' bound
+    decides. Exact-equal edges come first in both. Account ids must be unique and not null.
     """
     s = settings
+    mode = mode or ("ordered" if s.canopy_enabled else "components")
     gated = gate_edges(candidates, accounts, s) if s.edge_gating else candidates.select("id_a", "id_b", "score").where(F.col("score") >= s.medium).withColumns({"shared_tokens_count": F.lit(0), "reason": F.lit("standard_grouping"), "accepted": F.lit(True)})
     edges = gated.where("accepted").select("id_a", "id_b", F.col("score").cast("double").alias("score"), "reason", F.col("shared_tokens_count").alias("shared"))
     if exact is not None:

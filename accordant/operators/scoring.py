@@ -41,6 +41,20 @@ def scored_candidates(pairs: DataFrame, settings: Settings = DEFAULTS) -> DataFr
     return kept.select(F.col("account_id_a").alias("id_a"), F.col("account_id_b").alias("id_b"), "score", "ratio_name", "ratio_set", "jaccard", "num_style_match", "suffix_match", "punctuation_mismatch", "base_score")
 
 
+#: Fixed value: the set ratio below which the bulk path drops a pair before it is scored.
+BULK_GATE = 72
+
+
+def bulk_candidates(pairs: DataFrame, settings: Settings = DEFAULTS, cutoff: int = BULK_GATE) -> DataFrame:
+    """Scored candidates by the bulk path: pairs whose set ratio is below the cutoff leave first."""
+    return scored_candidates(pairs, settings.but(gate_cutoff=cutoff))
+
+
+def in_order(candidates: DataFrame) -> DataFrame:
+    """Candidates by their ids, the best score of a pair first."""
+    return candidates.orderBy("id_a", "id_b", F.desc("score"))
+
+
 def candidate_stats(candidates: DataFrame) -> DataFrame:
     return candidates.agg(F.count("*").alias("total"), F.count_if(F.col("score") >= 84).alias("medium_or_more"), F.count_if(F.col("score") >= 92).alias("high"))
 

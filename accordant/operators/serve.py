@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accordant.config import DEFAULTS, Settings
+from accordant.operators.disposition import blacklisted
 from accordant.operators.filters import by_disposition, by_edge_strength
 from accordant.operators.stats import group_stats
 
@@ -68,8 +70,8 @@ DETAIL_COLUMNS = ["group_id", "account_id", "account_name", "suffix_class", "cre
 
 
 def group_details(rows: DataFrame) -> DataFrame:
-    """The columns that details show, as far as they exist, sorted by group within partitions so that scans skip row groups."""
-    return rows.select(*[c for c in DETAIL_COLUMNS if c in rows.columns]).sortWithinPartitions("group_id")
+    """The columns that details show, as far as they exist."""
+    return rows.select(*[c for c in DETAIL_COLUMNS if c in rows.columns])
 
 
 def details_page(rows: DataFrame, group_id, sort: str = "Account Name (Asc)", page: int = 1, size: int = 50, dispositions: list[str] | None = None, min_edge: float | None = None) -> DataFrame:
@@ -81,9 +83,10 @@ def details_page(rows: DataFrame, group_id, sort: str = "Account Name (Asc)", pa
     return page_of(own.orderBy(*order_by(sort, own.columns, "details"), *ties), page, size)
 
 
-def badges(rows: DataFrame) -> DataFrame:
-    """What a group's header shows: its suffix classes and primaries."""
-    return rows.groupBy("group_id").agg(F.count_distinct("suffix_class").alias("suffixes"), F.count_if(F.col("is_primary")).alias("primaries"), F.count("*").alias("group_size"))
+def badges(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """What a group's header shows: its suffix classes, primaries and blacklisted names."""
+    hits = F.count_if(blacklisted(F.col("account_name"), settings)).alias("blacklist_hits")
+    return rows.groupBy("group_id").agg(F.count_distinct("suffix_class").alias("suffixes"), F.count_if(F.col("is_primary")).alias("primaries"), hits, F.count("*").alias("group_size"))
 
 
 def stats_of(rows: DataFrame) -> DataFrame:

@@ -9,9 +9,9 @@ from accordant.config import DEFAULT_RANK, DEFAULTS, Settings
 
 
 def with_ranks(groups: DataFrame, ranks: DataFrame, relationship: str = "relationship") -> DataFrame:
-    """relationship_rank by lookup; the rank table is the settings' few rows."""
+    """relationship_rank by lookup. Spark broadcasts the rank table where it is small enough, as the settings' own is."""
     table = ranks.select(F.col("relationship").alias(relationship), F.col("rank").alias("relationship_rank"))
-    out = groups.drop("relationship_rank").join(F.broadcast(table), relationship, "left")
+    out = groups.drop("relationship_rank").join(table, relationship, "left")
     return out.withColumn("relationship_rank", F.coalesce("relationship_rank", F.lit(DEFAULT_RANK)))
 
 

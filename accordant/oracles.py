@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from accordant.config import BLACKLIST_PHRASES, BLACKLIST_TOKENS, DEFAULTS, LEGAL_SUFFIXES, NAME_STOPWORDS, NOISE, PARENTHESES_BLACKLIST, PLURALS, RELATIONSHIP_RANKS, RETAIL_TERMS, SUSPICIOUS, SYMBOLS, WEAK_TOKENS
-from accordant.functions.text import ID_ALPHABET, SUFFIX_PATTERN
-from accordant.operators.disposition import _any_of
+from accordant.queries import UNBOUNDED
 from accordant.views import ACCOUNTS, MEMBERS, RUNS
 
 
@@ -12,6 +11,9 @@ def _q(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ012345"
+
+
 def _case(column: str, values: dict, default: str) -> str:
     return f"case {column} " + " ".join(f"when {_q(k)} then {_q(v) if isinstance(v, str) else v}" for k, v in values.items()) + f" else {default} end"
 
@@ -35,11 +37,12 @@ NORM = f"""
 accounts as ({ACCOUNTS}),
 based as (select *, trim(account_name) as name_raw, {_base("account_name")} as name_base from accounts),
 joined as (select *, array_to_string({_tokens("name_base")}, ' ') as j from based),
-norm as (select *, {_case(f"regexp_extract(j, {_q(SUFFIX_PATTERN)}, 1)", LEGAL_SUFFIXES, "'NONE'")} as suffix_class, trim(regexp_replace(j, {_q(SUFFIX_PATTERN)}, '')) as name_core,
+ended as (select *, list_reduce(list_filter({_list(LEGAL_SUFFIXES)}, lambda s: j = s or ends_with(j, ' ' || s)), lambda p, q: case when length(q) > length(p) then q else p end, '') as ending from joined),
+norm as (select *, {_case("ending", LEGAL_SUFFIXES, "'NONE'")} as suffix_class, trim(substr(j, 1, length(j) - length(ending))) as name_core,
   contains(name_raw, '(') and contains(name_raw, ')') as has_parentheses, contains(name_raw, ';') as has_semicolon,
   contains(name_raw, ';') or contains(name_raw, ':') or regexp_matches(name_raw, '\\(\\d+\\)|^\\d+\\.')
     or (length(name_raw) - length(replace(lower(name_raw), ' and ', ''))) / 5 + (length(name_raw) - length(replace(name_raw, '&', ''))) > 1 as has_multiple_names
-  from joined)"""
+  from ended)"""
 
 _NOISE = " or ".join(f"regexp_matches(lower(trim(name_core)), {_q(p)})" for p in NOISE)
 KEPT = f"""{NORM},
@@ -103,9 +106,10 @@ surv as (select *, row_number() over (partition by group_id order by relationshi
 
 
 def _blacklisted(name: str) -> str:
+    """Each term by itself: whole words, or anywhere in the name where the term has a blank."""
     terms = [*BLACKLIST_TOKENS, *BLACKLIST_PHRASES]
-    words, phrases = [t for t in terms if " " not in t], [t for t in terms if " " in t]
-    return f"(regexp_matches({name}, {_q(f'(?i)\\b(?:{_any_of(words)})\\b')}) or regexp_matches(lower({name}), {_q(_any_of(phrases))}))"
+    words = [f"regexp_matches(lower({name}), {_q('(^|[^a-z0-9_])' + t + '([^a-z0-9_]|$)')})" for t in terms if " " not in t]
+    return "(" + " or ".join([*words, *[f"contains(lower({name}), {_q(t)})" for t in terms if " " in t]]) + ")"
 
 
 DISPOSED = f"""{GROUPS},
@@ -144,14 +148,62 @@ def _enhanced(x: str) -> str:
 
 def _check(chunk: int) -> str:
     bits = " + ".join(f"case when regexp_matches(substr(id15, {5 * chunk + i + 1}, 1), '[A-Z]') then {1 << i} else 0 end" for i in range(5))
-    return f"substr('{ID_ALPHABET}', 1 + {bits}, 1)"
+    return f"substr('{ALPHABET}', 1 + {bits}, 1)"
 
 
 _SINGLE = f"""with recursive {SCORED.replace("where score >= 84),", "where score >= 60),", 1)},
-near as (select id_a, id_b from cand where score >= 65), nodes as (select id_a as account_id from cand union select id_b from cand),{_components("near", "nodes")},
+near as (select id_a, id_b from cand where score >= 85), nodes as (select id_a as account_id from cand union select id_b from cand),{_components("near", "nodes")},
 sized as (select account_id as id, root, count(*) over (partition by root) as size from label),
 numbered as (select id, (dense_rank() over (order by root) - 1)::int as cluster_id from sized where size >= 2)"""
 
+
+
+def _sharded(rows: str, cap: int, soft_cap: int, deny: list[str]) -> str:
+    """CTEs from `rows` to `sharded`: blocks by first token, and the shard of each record, level by level."""
+    limit = f"case when strategy = 'soft_ban_sharded' then {soft_cap} else {cap} end"
+    levels, columns = [], {1: f"coalesce({_tokens('name_core')}[2], '')", 2: f"coalesce({_tokens('name_core')}[3], '')", 3: "substr(name_core, 1, 3)", 4: "substr(name_core, 1, 4)"}
+    for n, finer in columns.items():
+        over = "large" if n == 1 else f"large and count(*) over (partition by block_key, s{n - 1}) > {limit}"
+        levels.append(f"level{n} as (select *, case when {over} then s{n - 1} || '|' || {finer} else s{n - 1} end as s{n} from level{n - 1})")
+    return f"""
+keyed_rows as (select account_id, row_seq, name_core, {_FIRST} as block_key from {rows}),
+sized_rows as (select *, count(*) over (partition by block_key) as block_size from keyed_rows where block_key <> ''),
+level0 as (select *, '' as s0, block_size > {cap} as large, case when list_contains({_list(DEFAULTS.allow_tokens)}, block_key) then case when block_size > {cap} then 'allowlisted_sharded' else 'allowlisted' end
+  when list_contains({_list(deny)}, block_key) and block_size > {cap} then 'soft_ban_sharded' when block_size > {cap} then 'standard_sharded' else 'full_pairs' end as strategy from sized_rows where block_size > 1),
+{", ".join(levels)},
+sharded as (select account_id, row_seq, name_core, block_key, strategy, s4 as shard, {_tokens('name_core')} as own, list_distinct(list_transform(range(1, length(name_core)), lambda i: substr(name_core, i, 2))) as grams from level4)"""
+
+
+def _shard_pairs(overlap: int, most: int | None) -> str:
+    """CTE `shard_pairs` from `sharded`: all pairs of a shard, in soft-banned blocks those that pass the filters and the rank."""
+    alike = f"abs(length(a.name_core) - length(b.name_core)) <= 150 and len(list_filter(list_distinct(a.own), lambda t: list_contains(b.own, t))) >= {overlap} and OVERLAP >= 0.1"
+    alike = alike.replace("OVERLAP", "case when len(a.grams) = 0 or len(b.grams) = 0 then 0.0 else len(list_filter(a.grams, lambda g: list_contains(b.grams, g)))::double / len(list_distinct(list_concat(a.grams, b.grams))) end")
+    rank = "" if most is None else f" qualify a.strategy <> 'soft_ban_sharded' or row_number() over (partition by a.account_id order by b.row_seq) <= {most}"
+    return f"shard_pairs as (select a.block_key, a.account_id as account_id_a, b.account_id as account_id_b from sharded a join sharded b using (block_key, shard) where a.row_seq < b.row_seq and (a.strategy <> 'soft_ban_sharded' or ({alike})){rank})"
+
+
+_MEMBERS_18 = "account_id || 'AAA'"
+_RESOLVED = f"""with recursive {DISPOSED},{ALIASES.replace("SOURCE", "kept")},
+ids as (select group_id, substr(sha1('{{"config_hash":"{UNBOUNDED.config_hash()}","members":[' || string_agg('"' || {_MEMBERS_18} || '"', ',' order by account_id) || ']}}'), 1, 10) as gid from disposed group by 1),
+placed as (select account_id, account_name, gid, count(*) over (partition by group_id) as group_size, is_primary, disposition, disposition_reason from disposed join ids using (group_id)),
+told as (select a.account_id as record_id, k.suffix_class, alias as alias_text, source as alias_source, {_base("alias")} as alias_base from aliases a join kept k using (account_id)),
+both_sides as (select t.*, o.account_id as match_record_id, o.name_core from (select *, {_tokens("alias_base")}[1] as ft from told) t join (select *, {_tokens("name_core")}[1] as ft from kept) o on t.ft = o.ft and t.suffix_class = o.suffix_class and t.record_id <> o.account_id),{_ratios("both_sides", "alias_base", "name_core").replace("named as", "named2 as").replace("from named)", "from named2)").replace("parted", "parted2").replace("sets as", "sets2 as").replace("from sets)", "from sets2)").replace("common as", "common2 as").replace("from common)", "from common2)").replace("rated as", "rated2 as")},
+refs as (select record_id, '{{"alias":"' || alias_text || '","group_id":"' || gid || '","score":' || ratio_name || ',"source":"' || alias_source || '"}}' as ref, alias_text, gid, ratio_name, alias_source
+  from both_sides join rated2 on a = alias_base and b = name_core join placed on match_record_id = account_id where ratio_name >= 92),
+listed as (select record_id, '[' || string_agg(ref, ',' order by alias_text, gid, ratio_name, alias_source) || ']' as refs from refs group by 1)
+select account_id || 'AAA' as account_id, account_name, gid as group_id, group_size::int as group_size, is_primary, disposition, disposition_reason, coalesce(refs, '[]') as alias_cross_refs from placed left join listed on record_id = account_id"""
+
+_PARITY = f"""{MSTATS}, others as (select group_id, count(*) as group_size, max(coalesce(weakest_edge_to_primary, 0.0)) as max_score, coalesce(max(case when is_primary then account_name end), min(account_name)) as primary_name,
+  coalesce(max(case when is_primary then disposition end), 'Update') as disposition from members where account_id <> '17' group by 1),
+paired as (select s.group_id as ka, o.group_id as kb, s.group_size as s1, o.group_size as o1, s.max_score as s2, o.max_score as o2, s.primary_name as s3, o.primary_name as o3, s.disposition as s4, o.disposition as o4 from stats s full join others o on s.group_id = o.group_id),
+sides as (select count(*) filter (kb is null) as only_a, count(*) filter (ka is null) as only_b from paired)
+""" + " union all ".join(f"select '{c}' as \"column\", count(*) filter (s{n} is not distinct from o{n}) as same, count(*) filter (s{n} is distinct from o{n}) as differ, any_value(only_a) as only_a, any_value(only_b) as only_b from paired, sides where ka is not null and kb is not null" for n, c in enumerate(("group_size", "max_score", "primary_name", "disposition"), 1))
+
+_PAGE = f"""{_SINGLE}, both_ids as (select x.cluster_id, x.id as p, y.id as q from numbered x join numbered y on x.cluster_id = y.cluster_id and x.id < y.id), sims as (select cluster_id, coalesce(score / 100::double, 0.0) as sim from both_ids left join cand on (id_a = p and id_b = q) or (id_a = q and id_b = p)),
+least_of as (select cluster_id, min(sim) as min_similarity from sims group by 1), shown as (select cluster_id, count(*) as size, min(account_name) as name from numbered join uniq on account_id = id group by 1),
+everyone as (select '' || cluster_id as cluster, size, min_similarity, name, 0 as last from shown join least_of using (cluster_id) union all select 'outliers', count(*), 0.0, 'outliers', 1 from nodes where account_id not in (select id from numbered) having count(*) > 0)
+select cluster, size, min_similarity, name from everyone order by last, size desc, cluster limit 10"""
+
 ORACLES = {
     "s4_parquet_projection": "select c_custkey, c_mktsegment from customer",
     "p3_id_15_to_18": f"select p_partkey, id15 || {_check(0)} || {_check(1)} || {_check(2)} as id18, true as valid from (select p_partkey, case when p_partkey % 2 = 0 then upper(substr(md5('' || p_partkey), 1, 15)) else substr(md5('' || p_partkey), 1, 15) end as id15 from part)",
@@ -177,6 +229,32 @@ ORACLES = {
     "c1_c2_token_ratios": f"with cores as (select {_base('n_name')} as core from nation), both_cores as (select x.core as p, y.core as q from cores x join cores y on substr(x.core, 1, 6) = substr(y.core, 1, 6) and x.core < y.core),{_ratios('both_cores', 'p', 'q')} select a, b, round(ratio_name, 6) as ratio_name, round(ratio_set, 6) as ratio_set from rated",
     "c4_scores": f"with {SCORED} select account_id_a, account_id_b, score, floor(ratio_name)::int as ratio_name, floor(ratio_set)::int as ratio_set, round(jaccard, 6) as jaccard, num_style_match, suffix_match from scored",
     "f4_candidates": f"with {SCORED} select id_a, id_b, score from cand",
+    "t1_candidate_order": f"with {SCORED} select id_a, id_b, score from cand order by id_a, id_b, score desc limit 25",
+    "c8_bulk_candidates": f"with {SCORED} select account_id_a as id_a, account_id_b as id_b, score from scored where score >= 50 and ratio_set >= 72",
+    "a13_top_blocks": f"with {PAIRS} select * from blocks order by count desc, token limit 4",
+    "v5_explained_block": f"with {PAIRS} select token as block_key, strategy, '' as shard, count as records from blocks where token = 'red'",
+    "j2_bigram_pairs": f"""with {KEPT},{_sharded("uniq", 10, 5, ["red", "hot"])},{_shard_pairs(3, None)},
+      two as (select account_id, row_seq, array_to_string({_tokens('name_core')}[1:2], ' ') as key, {_tokens('name_core')}[3] as third, name_core from uniq where array_to_string({_tokens('name_core')}[1:2], ' ') in ('red plate', 'hot ring')),
+      keyed_two as (select *, count(*) over (partition by key) > 10 as large from two),
+      shard_two as (select *, case when large and count(*) over (partition by key) > 10 then coalesce(third, '') else '' end as s from keyed_two),
+      pairs_two as (select a.account_id as account_id_a, b.account_id as account_id_b from shard_two a join shard_two b on a.key = b.key and a.s = b.s and a.row_seq < b.row_seq)
+      select account_id_a, account_id_b from shard_pairs union select account_id_a, account_id_b from pairs_two""",
+    "j3_sharded_pairs": f"""with {KEPT},{_sharded("kept", 100, 20, ["red", "the"])},{_shard_pairs(1, 50)},
+      made as (select block_key, count(*) as n from shard_pairs group by 1), sizes as (select block_key, strategy, count(*) as count from sharded group by 1, 2)
+      select sizes.block_key as token, count, strategy, coalesce(n, 0) as pairs_generated, case when strategy = 'soft_ban_sharded' then greatest(0, count * (count - 1) // 2 - coalesce(n, 0)) else 0 end as pairs_capped from sizes left join made using (block_key)""",
+    "c14_standard_groups": f"with recursive {SCORED},{_components('cand', 'uniq')} select account_id, (count(*) over (partition by root))::int as group_size, root as first_id from label",
+    "sql_functions": f"with {NORM},{_ratios('norm', 'name_base', 'name_core')} select account_id, name_core, trim(regexp_replace(trim(account_name), '\\s+', ' ', 'g')) as raw_exact_key, round(ratio_name, 6) as ratio from norm join rated on a = name_base and b = name_core",
+    "v9_content_hash": f"with accounts as ({ACCOUNTS}) select account_id, sha256(account_name || chr(10) || 'second' || chr(10) || relationship) as content_hash from accounts",
+    "v1_parity": _PARITY,
+    "t8_cluster_page": _PAGE,
+    "whole_resolution": _RESOLVED,
+    "d7_last_reasons": f"""with recursive {DISPOSED}, again as (select disposed.account_id, disposition, black, mismatch, odd, facts.is_primary as lead, has_multiple_names, group_size from disposed join facts using (account_id))
+      select account_id, disposition, case when group_size > 1 and not lead then 'duplicate_record' when group_size > 1 then 'primary_record' when not black and not odd then 'clean_singleton' when not black and odd then 'suspicious_singleton'
+        when mismatch then 'suffix_mismatch' when has_multiple_names then 'multi_name_string_requires_split' when black then 'blacklisted_name' else 'unknown' end as disposition_reason from again""",
+    "d8_alias_reasons": f"""with {MATCHES}, told_of as (select record_id, count(*) as n, string_agg(distinct chr(39) || alias_source || chr(39), ', ' order by chr(39) || alias_source || chr(39)) as sources from matches group by 1),
+      rows as (select account_id, {_blacklisted("account_name")} as black, regexp_matches(lower(account_name), {_q(SUSPICIOUS)}) as odd, n, sources from kept left join told_of on record_id = account_id)
+      select account_id, case when black then 'Delete' when n is not null or odd then 'Verify' else 'Keep' end as disposition,
+        case when black then 'blacklisted_name' when n is not null then 'alias_matches_' || n || '_groups_via_[' || sources || ']' when odd then 'suspicious_singleton' else 'clean_singleton' end as disposition_reason from rows""",
     "a15_candidate_stats": f"with {SCORED} select count(*) as total, count(*) as medium_or_more, count(*) filter (score >= 92) as high from cand",
     "c11_gated_edges": f"with {SCORED} select id_a, id_b, reason, shared_tokens_count::int as shared_tokens_count from gated",
     "a27_gating_reasons": f"with {SCORED} select reason, count(*) as edges from gated group by 1",
@@ -204,7 +282,7 @@ ORACLES = {
     "t6_page_from_rows": f"{M}, f as (select * from members where disposition = 'Keep' and weakest_edge_to_primary >= 20) select group_id, count(*) as group_size, max(coalesce(weakest_edge_to_primary, 0.0)) as max_score, coalesce(max(case when is_primary then account_name end), '') as primary_name from f group by 1 order by group_size desc, group_id limit 25",
     "t7_details_page": f"{M} select group_id, account_id, account_name, suffix_class, created_date, disposition from members where group_id = '7' order by account_name desc, account_id limit 10",
     "a6_count_groups": f"{MSTATS} select count(distinct group_id) as groups, 'rows' as source from members where disposition = 'Keep' and weakest_edge_to_primary >= 30 union all select count(*), 'stats' from stats where disposition = 'Keep' and max_score >= 30",
-    "a29_badges": f"{M} select group_id, count(distinct suffix_class) as suffixes, count(*) filter (is_primary) as primaries, count(*) as group_size from members group by 1",
+    "a29_badges": f"{M} select group_id, count(distinct suffix_class) as suffixes, count(*) filter (is_primary) as primaries, count(*) filter ({_blacklisted("account_name || case when account_id::bigint % 7 = 0 then ' sample' else '' end")}) as blacklist_hits, count(*) as group_size from members group by 1",
     "j14_refreshed_stats": f"{MSTATS} select * from stats",
     "w4_keep_first": "select event_id, user_id, event_type from (select *, row_number() over (partition by user_id order by event_id) as n from events) where n = 1",
     "a28_newest_runs": f"with runs as ({RUNS}) select run_id, input_hash, config_hash from (select *, row_number() over (partition by input_hash, config_hash order by \"timestamp\" desc, run_id) as n from runs) where n = 1",

@@ -42,7 +42,7 @@ def ingest(raw: DataFrame, order: str = "row_seq") -> DataFrame:
     return stats.keep_first(rows, "account_id", order)
 
 
-def resolve(accounts: DataFrame, settings: Settings = DEFAULTS, reps_only: bool = False, mode: str = "components", overrides: DataFrame | None = None) -> Stages:
+def resolve(accounts: DataFrame, settings: Settings = DEFAULTS, reps_only: bool = False, mode: str | None = None, overrides: DataFrame | None = None) -> Stages:
     """All stages of `accounts` (account_id, account_name, created_date, row_seq, relationship).
 
     Exact duplicates join their representative's group by edges of score 100; with `reps_only` they leave

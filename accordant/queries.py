@@ -48,7 +48,10 @@ def candidates(spark, sf, settings=DEFAULTS):
 
 
 #: Clusters are asked for at a lower similarity than groups, so their candidates are kept from there on.
-NEAR, SIMILAR = DEFAULTS.but(medium=60), 0.65
+NEAR, SIMILAR = DEFAULTS.but(medium=60), 0.85
+
+#: Groups that SQL can express: components, whatever their size.
+UNBOUNDED = DEFAULTS.but(canopy_enabled=False)
 
 
 def grouped(spark, sf):
@@ -56,7 +59,7 @@ def grouped(spark, sf):
     rows = materialise(kept(spark, sf))
     mapped = exact.exact_map(rows)
     found = scoring.scored_candidates(blocking.candidate_pairs(exact.unique_records(rows, mapped)))
-    return grouping.create_groups(rows, materialise(found), exact=exact.exact_star(mapped))
+    return grouping.create_groups(rows, materialise(found), UNBOUNDED, exact=exact.exact_star(mapped))
 
 
 def survivors(spark, sf):
@@ -210,6 +213,57 @@ def f4_candidates(spark, sf):
     return candidates(spark, sf).select("id_a", "id_b", "score")
 
 
+@query
+def t1_candidate_order(spark, sf):
+    return scoring.in_order(candidates(spark, sf)).limit(25).select("id_a", "id_b", "score")
+
+
+@query
+def c8_bulk_candidates(spark, sf):
+    """At a lowered threshold, so that the gate leaves out pairs that would pass."""
+    return scoring.bulk_candidates(blocking.candidate_pairs(unique(spark, sf)), DEFAULTS.but(medium=50)).select("id_a", "id_b", "score")
+
+
+@query
+def a13_top_blocks(spark, sf):
+    return blocking.top_blocks(blocking.block_stats(unique(spark, sf)), 4)
+
+
+@query
+def v5_explained_block(spark, sf):
+    return blocking.explain_token(unique(spark, sf), "red").select("block_key", "strategy", "shard", F.col("count").alias("records"))
+
+
+@query
+def j2_bigram_pairs(spark, sf):
+    """With allow-listed bigrams that the names hold, and blocks beyond a lowered cap that are not sharded."""
+    s = DEFAULTS.but(allow_bigrams=("red plate", "hot ring"), deny_tokens=("red", "hot"), block_cap=10, max_shard_size=5, min_token_overlap=3, max_candidates=None)
+    return blocking.candidate_pairs(unique(spark, sf), s).select("account_id_a", "account_id_b")
+
+
+@query
+def c14_standard_groups(spark, sf):
+    """Without gating every candidate is an edge."""
+    rows = materialise(unique(spark, sf))
+    made = grouping.create_groups(rows, materialise(candidates(spark, sf)), UNBOUNDED.but(edge_gating=False))
+    return made.select("account_id", "group_size", F.min("account_id").over(_group()).alias("first_id"))
+
+
+@query
+def sql_functions(spark, sf):
+    from accordant.functions import sql
+
+    sql.register(spark)
+    views.accounts(spark, sf).createOrReplaceTempView("accordant_accounts")
+    return spark.sql("select account_id, normalize_name(account_name) as name_core, raw_exact_key(account_name) as raw_exact_key, round(token_sort_ratio(name_base(account_name), normalize_name(account_name)), 6) as ratio from accordant_accounts")
+
+
+@query
+def v9_content_hash(spark, sf):
+    rows = views.accounts(spark, sf).select("account_id", F.concat("account_name", F.lit("\r\nsecond\r"), "relationship", F.lit(" \n\t\n")).alias("content"))
+    return rows.select("account_id", text.content_hash("content").alias("content_hash"))
+
+
 @query
 def a15_candidate_stats(spark, sf):
     return scoring.candidate_stats(candidates(spark, sf))
@@ -241,7 +295,7 @@ def _group():
 
 @query
 def c12_ordered_groups(spark, sf):
-    """The ordered replay with the canopy bound: rows only, since the order of unions isn't a relation."""
+    """The ordered replay with the canopy bound, which the order of unions decides; tests hold it against a replay of their own."""
     rows = materialise(unique(spark, sf))
     return grouping.create_groups(rows, materialise(candidates(spark, sf)), mode="ordered").select("account_id", "group_id", "group_size", "group_join_reason")
 
@@ -328,6 +382,20 @@ def d1_d3_blacklists(spark, sf):
     return views.accounts(spark, sf).select("account_id", disposition.blacklisted(name).alias("listed"), disposition.blacklisted_strictly(name, ["20-20"]).alias("strict"))
 
 
+@query
+def d7_last_reasons(spark, sf):
+    return disposition.classify(survivors(spark, sf), last_reason_wins=True).select("account_id", "disposition", "disposition_reason")
+
+
+@query
+def d8_alias_reasons(spark, sf):
+    """The reason that counts alias matches, over rows that have some."""
+    rows = materialise(kept(spark, sf))
+    found = alias.alias_matches(rows, rows.select("account_id", F.col("name_core").alias("group_id")))
+    lone = rows.withColumns({"group_id": F.col("account_id"), "is_primary": F.lit(True), "has_multiple_names": F.lit(False)})
+    return disposition.classify(alias.with_cross_references(lone, found), alias_details=True).select("account_id", "disposition", "disposition_reason")
+
+
 @query
 def a16_disposition_counts(spark, sf):
     return disposition.disposition_counts(disposition.classify(survivors(spark, sf)))
@@ -402,7 +470,7 @@ def a6_count_groups(spark, sf):
 
 @query
 def a29_badges(spark, sf):
-    return serve.badges(views.members(spark, sf))
+    return serve.badges(views.members(spark, sf).withColumn("account_name", F.concat_ws(" ", "account_name", F.when(F.col("account_id").cast("long") % 7 == 0, "sample"))))
 
 
 @query
@@ -457,5 +525,5 @@ def v3_checksum(spark, sf):
 @query
 def whole_resolution(spark, sf):
     """Every stage from raw accounts to the review table."""
-    review = resolve(ingest(views.accounts(spark, sf))).review
+    review = resolve(ingest(views.accounts(spark, sf)), UNBOUNDED).review
     return review.select("account_id", "account_name", "group_id", "group_size", "is_primary", "disposition", "disposition_reason", F.to_json("alias_cross_refs").alias("alias_cross_refs"))

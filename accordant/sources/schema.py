@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accordant.config import SYNONYMS, TEMPLATES
+from accordant.config import SYNONYMS
 from accordant.functions.fuzzy import ratio, token_set_ratio, token_sort_ratio
 
 CANONICAL = ["account_name", "account_id", "parent_account_id", "created_date", "suffix_class"]
@@ -26,7 +26,7 @@ def title(column: str) -> str:
     return " ".join("ID" if w == "id" else w.capitalize() for w in column.split("_"))
 
 
-def resolve_schema(df: DataFrame, overrides: dict[str, str] | None = None, filename: str | None = None, synonyms: dict = SYNONYMS, templates=TEMPLATES) -> dict[str, str]:
+def resolve_schema(df: DataFrame, overrides: dict[str, str] | None = None, filename: str | None = None, synonyms: dict = SYNONYMS, templates=()) -> dict[str, str]:
     """Canonical name to header: overrides, else a file template, else synonyms, else heuristics on names and 100 values.
 
     Runs on the driver over the headers; values are sampled only for columns that names leave open.
@@ -52,28 +52,26 @@ def resolve_schema(df: DataFrame, overrides: dict[str, str] | None = None, filen
             hit = next((w for w in wanted if w in headers), None) or next((low[w.lower()] for w in wanted if w.lower() in low), None)
             if hit:
                 found[name] = hit
-    sample = None
     if "account_name" not in found:
         best, top = None, 80.0
         for h in headers:
             score = max(f(h.lower(), w) for w in ("name", "company", "customer") for f in (ratio, token_sort_ratio, token_set_ratio))
-            if score > top:
+            if score > top or (best is None and score >= top):
                 best, top = h, score
         if best:
             found["account_name"] = best
-    if "account_id" not in found or "created_date" not in found:
-        sample = df.limit(100).collect()
-
-    def share(h: str, pattern: str) -> float:
-        values = [str(r[h]) for r in sample if r[h] is not None]
-        return sum(bool(re.search(pattern, v)) for v in values) / len(values) if values else 0.0
-
+    shares: dict[str, tuple[float, float]] = {}
+    if "account_id" not in found or "created_date" not in found:  # one row over the whole table
+        values = [F.col(f"`{h}`").cast("string") for h in headers]
+        each = [F.struct(*[F.avg(v.rlike(p).cast("int")) for p in (r"^[A-Za-z0-9]{10,}$", r"\d{1,4}[-/]\d{1,2}[-/]\d{1,4}")]) for v in values]
+        row = df.agg(*[x.alias(f"h{n}") for n, x in enumerate(each)]).first()
+        shares = {h: (row[n][0] or 0.0, row[n][1] or 0.0) for n, h in enumerate(headers)}
     if "account_id" not in found:
-        hits = sorted(h for h in headers if h.lower() in ("id", "id_", "_id") or share(h, r"^[A-Za-z0-9]{10,}$") > 0.8)
+        hits = sorted(h for h in headers if h.lower() in ("id", "id_", "_id") or shares[h][0] > 0.8)
         if hits:
             found["account_id"] = hits[0]
     if "created_date" not in found:
-        hits = sorted(h for h in headers if re.search("date|created|modified|updated", h.lower()) or share(h, r"\d{1,4}[-/]\d{1,2}[-/]\d{1,4}") > 0.3)
+        hits = sorted(h for h in headers if re.search("date|created|modified|updated", h.lower()) or shares[h][1] > 0.3)
         if hits:
             found["created_date"] = hits[0]
     if "account_name" not in found:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from accordant.config import Settings
 from accordant.sources.schema import to_display
 
 
@@ -16,9 +17,9 @@ def write_stage(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_tuned(df: DataFrame, path: str, max_records: int = 2_000_000) -> None:
-    """zstd, files of bounded rows."""
-    df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", max_records).parquet(path)
+def write_tuned(df: DataFrame, path: str, max_records: int = 2_000_000, group_bytes: int = 128 << 20) -> None:
+    """zstd, files of bounded rows, row groups of bounded bytes."""
+    df.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", group_bytes).option("maxRecordsPerFile", max_records).parquet(path)
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -66,3 +67,49 @@ def write_suggestions(suggestions: DataFrame, path: str, least: float = 0.7) ->
 def table_sizes(spark, path: str) -> DataFrame:
     """One row: files and bytes of a written table."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+FOOTER = "path string, bytes long, rows long, row_groups long, compressed long, uncompressed long, codecs string"
+
+
+def parquet_report(spark, path: str) -> DataFrame:
+    """A row per file of a written table: rows, row groups, column bytes before and after compression, codecs. Executors read footers, of a file at a time."""
+
+    def run(batches):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            out = []
+            for name, length, content in zip(batch["path"], batch["length"], batch["content"]):
+                meta = pq.ParquetFile(pa.BufferReader(content)).metadata
+                chunks = [meta.row_group(g).column(c) for g in range(meta.num_row_groups) for c in range(meta.num_columns)]
+                out.append((name, length, meta.num_rows, meta.num_row_groups, sum(c.total_compressed_size for c in chunks), sum(c.total_uncompressed_size for c in chunks), ",".join(sorted({c.compression for c in chunks}))))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in FOOTER.split(", ")])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", "length", "content").mapInPandas(run, FOOTER)
+
+
+def compare_tables(spark, a: str, b: str) -> DataFrame:
+    """One row: files, rows and bytes of two written tables, and the second's bytes as a share of the first's."""
+
+    def total(path: str, name: str) -> DataFrame:
+        own = parquet_report(spark, path).agg(F.count("*").alias(f"files_{name}"), F.sum("rows").alias(f"rows_{name}"), F.sum("bytes").alias(f"bytes_{name}"))
+        return own.withColumn("k", F.lit(1))
+
+    return total(a, "a").join(total(b, "b"), "k").drop("k").withColumn("share", F.col("bytes_b") / F.col("bytes_a"))
+
+
+def audit_snapshot(settings: Settings, matches: DataFrame, commit: str | None = None) -> dict:
+    """What a run was made with: thresholds, sizes of the effective lists, alias matches by source."""
+    by_source = {r["alias_source"]: r["n"] for r in matches.groupBy("alias_source").agg(F.count("*").alias("n")).collect()}  # two sources
+    thresholds = {k: getattr(settings, k) for k in ("high", "medium", "suffix_penalty", "numeric_penalty", "punctuation_penalty", "canopy_enabled", "canopy_bound")}
+    lists = {"blacklist_tokens": len(settings.blacklist_tokens), "blacklist_phrases": len(settings.blacklist_phrases)}
+    return {"config_hash": settings.config_hash(), "thresholds": thresholds, "lists": lists, "alias_matches": by_source, "commit": commit}
+
+
+def performance_document(summary: DataFrame, seconds: dict[str, float]) -> dict:
+    """The performance summary's one row with the stages' seconds."""
+    return {**summary.first().asDict(), "seconds": {k: round(v, 3) for k, v in seconds.items()}, "seconds_total": round(sum(seconds.values()), 3)}

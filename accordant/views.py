@@ -12,7 +12,8 @@ select '001' || lpad('' || p_partkey, 12, '0') as account_id, p_partkey as row_s
        when p_partkey % 8 = 0 then p_name || ' Inc' when p_partkey % 8 = 1 then upper(p_name) || ', L.L.C.'
        when p_partkey % 8 = 2 then p_name || ' & Sons  Ltd.' when p_partkey % 8 = 3 then p_name || ' (Acme Supply Corp)'
        when p_partkey % 8 = 4 then '(1)' || p_name || '; (2) ' || p_name || ' Sons Limited' when p_partkey % 8 = 5 then 'The ' || p_name || ' Company'
-       when p_partkey % 8 = 6 then p_name || ' 20-20' else p_name end as account_name,
+       when p_partkey % 32 = 6 then p_name || '; ' || p_name || ' works' when p_partkey % 32 = 14 then p_name || ' global trading partners'
+       when p_partkey % 32 = 30 then p_name || ' global trading partner' when p_partkey % 8 = 6 then p_name || ' 20-20' else p_name end as account_name,
   case when p_size % 3 = 0 then 'Company Name on W-2' when p_size % 3 = 1 then 'Company Logo on Emails' else 'Word of mouth' end as relationship,
   '2024-01-' || lpad('' || (1 + p_size % 28), 2, '0') as created_date
 from part

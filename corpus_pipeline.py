@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from accordant.llm import best_fit_packing, ngram_jaccard, quality_rules, secret_scans, substring_dedup
 from accordant.llm.common import read, shared_folder
 from accordant.llm.queries import tokenizer_file
+from accordant.plans.materialise import delete
 from accordant.plans.shipping import ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -70,16 +71,22 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-#: SQL expresses neither the likelihood ratio, the components, nor the packing. tests/llm holds operators against
-#: brute force, but neither the stages nor run(): of those it checks columns, ids and that rows stay.
+#: SQL expresses neither the likelihood ratio, the components, nor the packing; tests/llm holds run() against plain
+#: Python counterparts of its stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents, each written as a table in the cluster's shared folder and read again."""
+    """The stages applied to documents, each written as a table in the cluster's shared folder and read again.
+
+    The last stage checkpoints its pieces before it returns, so the stages' tables aren't read after that and go.
+    """
     docs = read(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for n, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{n}")
-        docs = spark.read.parquet(f"{folder}/{n}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    try:
+        for n, (_, stage) in enumerate(STAGES[:-1]):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{n}")
+            docs = spark.read.parquet(f"{folder}/{n}")
+        return STAGES[-1][1](spark, docs, sf_dir)
+    finally:
+        delete(spark, folder)

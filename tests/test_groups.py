@@ -1,5 +1,8 @@
+import os
+
 import pytest
 
+from accordant import queries
 from accordant.config import DEFAULTS
 from accordant.operators import blocking, clusters, exact, grouping, scoring
 from accordant.operators.graph import components
@@ -93,8 +96,8 @@ def test_cluster_parameters(spark, bad):
 def test_scores_of_known_names(spark):
     rows = normalise(synthetic_names(spark)).selectExpr("*", "cast(substring(account_id, 4) as int) as row_seq")
     scored = {(r.name_core_a, r.name_core_b, r.suffix_class_a == r.suffix_class_b): r for r in scoring.score_components(blocking.candidate_pairs(rows)).collect()}
-    assert scored[("alpha widgets", "alpha widget", True)].score == 83
-    assert scored[("delta logistics", "delta logistics", False)].score == 75
+    assert scored[("juniper quay ferry", "juniper quay ferrys", True)].score == 88
+    assert scored[("juniper quay ferry", "juniper quay ferry", False)].score == 75
     assert all(0 <= r.score <= 100 for r in scored.values())
 
 
@@ -115,3 +118,50 @@ def test_disjoint_set():
     assert sets.union("a", "b") and not sets.union("b", "a") and sets.union("b", "c")
     sets.make_set("d")
     assert sets.get_size("a") == 3 and sets.get_set_count() == 2 and sets.get_set_members("c") == {"a", "b", "c"}
+
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+LARGER = os.path.join(os.path.dirname(SF), "sf0.01")
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no tables here")
+def test_ordered_groups_against_a_replay_of_sets(spark):
+    rows = queries.materialise(queries.unique(spark, LARGER))
+    found = queries.materialise(queries.candidates(spark, LARGER))
+    got = {}
+    for r in grouping.create_groups(rows, found).collect():
+        got.setdefault(r.group_id, set()).add(r.account_id)
+    gated = [r for r in grouping.gate_edges(found, rows).collect() if r.accepted]
+    groups, refused = {r.account_id: {r.account_id} for r in rows.select("account_id").collect()}, 0
+    for e in sorted(gated, key=lambda e: (-e.score, e.id_a, e.id_b)):
+        a, b = groups[min(e.id_a, e.id_b)], groups[max(e.id_a, e.id_b)]
+        if a is b:
+            continue
+        if len(a) >= DEFAULTS.canopy_bound and e.score < DEFAULTS.high:
+            refused += 1
+            continue
+        a |= b
+        groups |= {x: a for x in b}
+    assert sorted(map(sorted, got.values())) == sorted(map(list, {tuple(sorted(g)) for g in groups.values()}))
+    assert refused and max(map(len, got.values())) >= DEFAULTS.canopy_bound
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no tables here")
+def test_complete_clusters_against_a_search_of_all_members(spark):
+    found = queries.materialise(queries.candidates(spark, LARGER, queries.NEAR))
+    got = {}
+    for r in clusters.clusters_of_run(found, 0.75, "complete")[0].collect():
+        got.setdefault(r.cluster_id, []).append(r.id)
+    rows = found.collect()
+    near = {frozenset((r.id_a, r.id_b)) for r in rows if r.score >= 75}
+    left, wanted = sorted({x for r in rows for x in (r.id_a, r.id_b)}), []
+    while left:
+        own = [left[0]]
+        for x in left[1:]:
+            if all(frozenset((x, y)) in near for y in own):
+                own.append(x)
+        if len(own) > 1:
+            wanted.append(own)
+        left = [x for x in left if x not in own]
+    assert [sorted(got[n]) for n in sorted(got)] == wanted and sorted(got) == list(range(len(wanted)))
+    assert any(len(x) > 2 for x in wanted)

@@ -105,11 +105,11 @@ def test_whole_resolution_of_known_names(spark):
     raw = tables.synthetic_names(spark).selectExpr("*", "'Other/Miscellaneous' as relationship", "cast(substring(account_id, 4) as int) as row_seq")
     out = resolve(ingest(raw.unionByName(raw)))
     got = out.review.collect()
-    assert len(got) == 20 and all(r.disposition for r in got)
+    assert len(got) == 32 and all(r.disposition for r in got)
     by = {}
     for r in got:
         by.setdefault(r.group_id, set()).add(r.account_name)
-    assert {"Alpha Widgets Inc", "Alpha Widgets, Inc.", "Alpha Widgets Incorporated"} <= next(v for v in by.values() if "Alpha Widgets Inc" in v)
+    assert {"Juniper Quay Ferry Inc", "Juniper Quay Ferry, Inc.", "Juniper Quay Ferrys Inc"} <= next(v for v in by.values() if "Juniper Quay Ferry Inc" in v)
     assert sum(r.is_primary for r in got) == len(by)
 
 
@@ -119,3 +119,91 @@ def test_a_stream_of_files(spark, tmp_path):
         source = spark.readStream.schema("account_id string, account_name string").json(str(tmp_path / "in" / "*"))
         deduplicate_stream(source, str(tmp_path / "table"), str(tmp_path / "matches"), str(tmp_path / "checkpoint"), DEFAULTS).awaitTermination()
     assert [(r.id_a, r.id_b) for r in spark.read.parquet(str(tmp_path / "matches")).collect()] == [("10", "00")]
+
+
+def test_no_cell_is_lost_to_its_columns_type(spark, tmp_path):
+    lines = [f"{i},{i}" for i in range(21_000)] + ["21000,not a number", "99999999999999999999,7"]
+    (tmp_path / "late.csv").write_text("n,m\n" + "\n".join(lines) + "\n")
+    df = tables.read_csv_stable(spark, str(tmp_path / "late.csv"))
+    assert dict(df.dtypes) == {"n": "string", "m": "string"} and df.where("n is null or m is null").count() == 0
+    told = tables.read_csv_stable(spark, str(tmp_path / "late.csv"), {"n": "double", "m": "bigint"})
+    assert dict(told.dtypes) == {"n": "double", "m": "string"} and told.where("m = 'not a number'").count() == 1
+
+
+def test_settings_merge_key_by_key():
+    s = tables.load_settings("high: 95\nranks: {Word of mouth: 12}\nstop_tokens: [inc]\n")
+    assert s.high == 95 and s.stop_tokens == ("inc",) and s.ranks["Word of mouth"] == 12 and s.ranks["Company Name on W-2"] == 10
+    with pytest.raises(TypeError):
+        tables.load_settings("no_such_key: 1")
+
+
+def test_all_exact_pairs_and_all_alias_matches_on_demand(spark):
+    from accordant.operators import exact
+
+    rows = spark.createDataFrame([(f"{i:02d}", "Same Name") for i in range(12)], "account_id string, account_name string")
+    mapped = exact.exact_map(rows)
+    assert [exact.exact_pairs(mapped, n).count() for n in (None, 12, 11)] == [66, 66, 11]
+    records = normalise(spark.createDataFrame([("r", "Blue Kiln; Blue Kiln Works")] + [(f"m{i}", "Blue Kiln") for i in range(9)], "account_id string, account_name string"))
+    ids = records.select("account_id", "account_id").toDF("account_id", "group_id")
+    assert [alias.alias_matches(records, ids, DEFAULTS.but(max_alias_pairs=n)).count() for n in (None, 9, 4)] == [9, 9, 4]
+
+
+def test_runs_resume_and_prune(spark, tmp_path):
+    from accordant.plans import runs
+
+    root, made = runs.Runs(spark, f"file://{tmp_path}/runs"), []
+
+    def stage(name, fail=False):
+        def f(df):
+            made.append(name)
+            if fail:
+                raise RuntimeError("lost")
+            return df.selectExpr("id + 1 as id")
+
+        return name, f
+
+    first = spark.range(3)
+    name = runs.run_id("input", DEFAULTS, "20240101000000")
+    with pytest.raises(RuntimeError):
+        root.pipeline(name, [stage("a"), stage("b", fail=True)], first)
+    assert root.latest() is None and root.orphans() == [name]
+    assert sorted(r.id for r in root.pipeline(name, [stage("a"), stage("b")], first).collect()) == [2, 3, 4]
+    assert made == ["a", "b", "b"]
+    root.finish(name, rows=3)
+    for day in (2, 3):
+        other = runs.run_id("input", DEFAULTS, f"2024010{day}000000")
+        root.pipeline(other, [stage("a")], first)
+        root.finish(other, rows=3)
+    assert root.latest() == other and [e["rows"] for e in root.index()] == [3, 3, 3] and root.size(name) > 0
+    assert root.prune(2) == [name] and len(root.index()) == 2 and root.size(name) == 0 and root.orphans() == []
+
+
+def test_parquet_reports_and_documents(spark, tmp_path, rows):
+    sinks.write_stage(spark.range(1000).repartition(2), f"{tmp_path}/a")
+    sinks.write_tuned(spark.range(1000).coalesce(1), f"{tmp_path}/b")
+    report = sinks.parquet_report(spark, f"{tmp_path}/a").collect()
+    assert len(report) == 2 and sum(r.rows for r in report) == 1000 and all(r.row_groups == 1 and r.codecs == "SNAPPY" for r in report)
+    both = sinks.compare_tables(spark, f"{tmp_path}/a", f"{tmp_path}/b").first()
+    assert (both.files_a, both.files_b, both.rows_a, both.rows_b) == (2, 1, 1000, 1000)
+    matches = spark.createDataFrame([("semicolon",), ("semicolon",), ("parentheses",)], "alias_source string")
+    snapshot = sinks.audit_snapshot(DEFAULTS, matches, "abc")
+    assert snapshot["alias_matches"] == {"semicolon": 2, "parentheses": 1} and snapshot["thresholds"]["high"] == 92 and snapshot["config_hash"] == DEFAULTS.config_hash()
+    sinks.write_document(spark, snapshot, f"{tmp_path}/audit")
+    assert json.loads(spark.read.text(f"{tmp_path}/audit").first().value)["commit"] == "abc"
+
+
+def test_content_hash_and_released_checkpoints(spark):
+    from accordant.functions.text import content_hash
+    from accordant.plans.materialise import materialise, release
+
+    texts = ["a\r\nb\r\n\n", "a\nb", "a\rb  ", "a\n b"]
+    got = [r.h for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", content_hash("t").alias("h")).orderBy("i").collect()]
+    assert got[0] == got[1] == got[2] != got[3]
+    df = materialise(spark.range(10))
+    assert df.count() == 10
+    path = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+    from accordant.plans.runs import exists
+
+    assert exists(spark, path)
+    release(df, spark.range(3))
+    assert not exists(spark, path)
