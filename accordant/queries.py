@@ -39,8 +39,9 @@ def kept(spark, sf):
 
 
 def unique(spark, sf):
-    rows = kept(spark, sf)
-    return exact.unique_records(rows, exact.exact_map(rows))
+    """Written once, since blocks read it for both sides of their join and each of their counts."""
+    rows = materialise(kept(spark, sf))
+    return materialise(exact.unique_records(rows, exact.exact_map(rows)))
 
 
 def candidates(spark, sf, settings=DEFAULTS):
