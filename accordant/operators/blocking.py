@@ -87,9 +87,15 @@ def _pairs_with_blocks(blocked: DataFrame, settings: Settings) -> DataFrame:
 PAIR_COLUMNS = ["account_id_a", "account_id_b", "name_core_a", "name_core_b", "suffix_class_a", "suffix_class_b"]
 
 
-def candidate_pairs(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Distinct pairs of records that share a shard, the earlier row first, with what the scorer needs."""
-    return _pairs_with_blocks(blocks(records, settings), settings).dropDuplicates(["row_seq_a", "row_seq_b"]).select("row_seq_a", "row_seq_b", *PAIR_COLUMNS)
+def candidate_pairs(records: DataFrame, settings: Settings = DEFAULTS, only=None) -> DataFrame:
+    """Distinct pairs of records that share a shard, the earlier row first, with what the scorer needs.
+
+    `only`, a condition on a pair's names and suffix classes, drops pairs where they are made, before any is shuffled.
+    """
+    pairs = _pairs_with_blocks(blocks(records, settings), settings)
+    if only is not None:
+        pairs = pairs.where(only)
+    return pairs.dropDuplicates(["row_seq_a", "row_seq_b"]).select("row_seq_a", "row_seq_b", *PAIR_COLUMNS)
 
 
 def block_stats(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -35,6 +35,19 @@ def score_components(pairs: DataFrame, settings: Settings = DEFAULTS) -> DataFra
     return out.withColumns({"score": score, "ratio_name": F.floor("ratio_name").cast("int"), "ratio_set": F.floor("ratio_set").cast("int")})
 
 
+def within_reach(settings: Settings = DEFAULTS):
+    """Whether a pair's score can reach the medium threshold if both its ratios were 100: told from tokens and flags alone."""
+    s = settings
+    best = 80.0 + 20.0 * jaccard("name_core_a", "name_core_b", s.enhance)
+    flags = (
+        (numbers("name_core_a") != numbers("name_core_b"), s.numeric_penalty), (F.col("suffix_class_a") != F.col("suffix_class_b"), s.suffix_penalty),
+        (punctuation("name_core_a") != punctuation("name_core_b"), s.punctuation_penalty),
+    )
+    for flag, penalty in flags:
+        best = best - F.when(flag, F.lit(float(penalty))).otherwise(F.lit(0.0))
+    return best >= s.medium - 0.5 - 1e-6  # scores are rounded
+
+
 def scored_candidates(pairs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Pairs at the medium threshold or above: id_a, id_b and the score's components."""
     kept = score_components(pairs, settings).where(F.col("score") >= settings.medium)

@@ -54,7 +54,7 @@ def resolve(accounts: DataFrame, settings: Settings = DEFAULTS, reps_only: bool
     kept = materialise(kept)
     mapped = exact.exact_map(kept)
     unique = materialise(exact.unique_records(kept, mapped))
-    pairs = blocking.candidate_pairs(unique, s)
+    pairs = blocking.candidate_pairs(unique, s, only=scoring.within_reach(s))
     candidates = materialise(scoring.scored_candidates(pairs, s))
     star = None if reps_only else exact.exact_star(mapped)
     groups = grouping.create_groups(unique if reps_only else kept, candidates, s, mode, star)

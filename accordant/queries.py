@@ -45,7 +45,7 @@ def unique(spark, sf):
 
 
 def candidates(spark, sf, settings=DEFAULTS):
-    return scoring.scored_candidates(blocking.candidate_pairs(unique(spark, sf)), settings)
+    return scoring.scored_candidates(blocking.candidate_pairs(unique(spark, sf), only=scoring.within_reach(settings)), settings)
 
 
 #: Clusters are asked for at a lower similarity than groups, so their candidates are kept from there on.
@@ -59,7 +59,7 @@ def grouped(spark, sf):
     """Groups of all kept records, exact duplicates included."""
     rows = materialise(kept(spark, sf))
     mapped = exact.exact_map(rows)
-    found = scoring.scored_candidates(blocking.candidate_pairs(exact.unique_records(rows, mapped)))
+    found = scoring.scored_candidates(blocking.candidate_pairs(exact.unique_records(rows, mapped), only=scoring.within_reach()))
     return grouping.create_groups(rows, materialise(found), UNBOUNDED, exact=exact.exact_star(mapped))
 
 

@@ -165,3 +165,13 @@ def test_complete_clusters_against_a_search_of_all_members(spark):
         left = [x for x in left if x not in own]
     assert [sorted(got[n]) for n in sorted(got)] == wanted and sorted(got) == list(range(len(wanted)))
     assert any(len(x) > 2 for x in wanted)
+
+
+def test_pairs_out_of_reach_have_no_score_that_counts(spark):
+    names = ["acme trading", "acme trading 20", "acme trading co", "acme", "trading acme north", "beta works", "acme-trading", ""]
+    rows = [(x, y, p, q) for x in names for y in names for p in ("LLC", "INC", None) for q in ("LLC", "INC")]
+    pairs = spark.createDataFrame(rows, "name_core_a string, name_core_b string, suffix_class_a string, suffix_class_b string")
+    scored = scoring.score_components(pairs.withColumn("near", scoring.within_reach()))
+    told = [(r["near"], r["score"]) for r in scored.collect()]
+    assert all(near for near, score in told if score >= DEFAULTS.medium)
+    assert any(score >= DEFAULTS.medium for _, score in told) and any(not near for near, _ in told)
