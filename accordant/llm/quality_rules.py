@@ -91,7 +91,10 @@ def _scored(docs: DataFrame, trusted: DataFrame, key: str, text: str, own: list[
     rows = base_statistics(rows, "t").withColumn("grams", F.expr(grams_of("words", buckets))).withColumn("weights", weights.scalar())
     rows = rows.withColumn("score", F.expr("case when size(grams) = 0 then 0D else aggregate(grams, 0D, (a, b) -> a + weights[b]) / size(grams) end"))
     kept = ~F.col("base_failed") & (F.col("score") >= threshold)
-    return rows.select("own", *STATISTICS, F.round("score", 6).alias("score"), kept.alias("kept"))
+    # A generator of one row: the optimizer keeps a caller's filter on these columns above it. Below, the filter would
+    # repeat the projections' arrays once for every reference.
+    judged = F.struct(*STATISTICS, F.round("score", 6).alias("score"), kept.alias("kept"))
+    return rows.select("own", F.inline(F.array(judged)))
 
 
 def score_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
@@ -101,10 +104,5 @@ def score_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", te
 
 
 def kept_documents(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    """The rows of `docs` that score_documents keeps, as they are.
-
-    A random column beside the verdict, always at least 0, keeps the optimizer from pushing the
-    filter below the projections, where it would repeat their arrays once for every reference.
-    """
-    rows = _scored(docs, trusted, key, text, docs.columns, threshold, buckets, trusted_rows).withColumn("barrier", F.rand(0))
-    return rows.where(F.col("kept") & (F.col("barrier") >= 0)).select("own.*")
+    """The rows of `docs` that score_documents keeps, as they are."""
+    return _scored(docs, trusted, key, text, docs.columns, threshold, buckets, trusted_rows).where("kept").select("own.*")
