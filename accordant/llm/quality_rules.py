@@ -3,8 +3,9 @@
 Base rules count words, symbols, repeated lines and repeated 3-word windows. The method scores
 each document by how much likelier its hashed word n-grams are under the multinomial of a trusted
 target than under that of the raw corpus, divided by their number, and keeps the documents above a
-fixed threshold. Counts cover every document; the two multinomials live in a table of fixed size.
-DataFrame operations only: no Python on the executors.
+fixed threshold. A bucket's ratio is shrunk towards 1, the more so the fewer n-grams the target is
+expected to hold there. Counts cover every document; the two multinomials live in a table of fixed
+size. DataFrame operations only: no Python on the executors.
 
 Defined results: a null or empty text has no words, so it fails the base rules and scores 0; a
 text of one word has one n-gram; repeated rows are scored each; an empty table gives no rows; without any
@@ -23,9 +24,10 @@ BUCKETS = 1 << 16
 #: Trusted rows that fit the target multinomial, at most: the documented sample bound.
 TRUSTED_ROWS = 20_000
 #: A document is dropped below this mean log-likelihood ratio (nats an n-gram).
-THRESHOLD = -0.5
-#: Pseudo-count of each bucket, in units of the mean bucket's count.
-SMOOTHING = 0.05
+THRESHOLD = -0.2
+#: n-grams added to what a bucket of the target holds and to what the raw corpus lets expect there. A bucket
+#: where fewer are expected says little, so unlabelled documents don't lose by a small target's gaps.
+SHRINKAGE = 5.0
 
 
 def words_of(text):
@@ -73,11 +75,9 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", tex
     counted = rows.select("target", F.explode(F.expr(grams_of("words", buckets))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target"))
     frame = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     whole = frame.join(counted, "bucket", "left").na.fill(0, ["raw", "target"])
-    # A mean bucket's count scales the pseudo-count, so the ratio doesn't depend on the corpus's size.
     whole = whole.groupBy(F.lit(1).alias("one")).agg(F.sum("raw").alias("raw_all"), F.sum("target").alias("target_all"), F.collect_list(F.struct("bucket", "raw", "target")).alias("each"))
     whole = whole.select("raw_all", "target_all", F.sort_array("each").alias("each"))
-    smooth = f"{SMOOTHING} / {buckets}D"
-    weight = f"case when target_all = 0 or raw_all = 0 then 0D else ln((x.target / target_all + {smooth}) / (x.raw / raw_all + {smooth})) end"
+    weight = f"case when target_all = 0 or raw_all = 0 then 0D else ln((x.target + {SHRINKAGE}D) / (x.raw / raw_all * target_all + {SHRINKAGE}D)) end"
     return whole.select(F.expr(f"transform(each, x -> cast({weight} as double))").alias("weights"))
 
 
