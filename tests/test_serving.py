@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from accordant.config import DEFAULTS
 from accordant.operators import alias, checks, disposition, serve, stats, survivorship
@@ -207,3 +208,24 @@ def test_content_hash_and_released_checkpoints(spark):
     assert exists(spark, path)
     release(df, spark.range(3))
     assert not exists(spark, path)
+
+
+def test_counted_alias_matches_are_the_matches(spark):
+    names = [("1", "Acme; Acme Works; Acme"), ("2", "Acme"), ("3", "Acme"), ("4", "Acme"), ("5", "Acme Works"), ("6", "Acme Works; Acme"), ("7", "Beta (Acme Works)")]
+    records = normalise(spark.createDataFrame(names, "account_id string, account_name string"))
+    groups = spark.createDataFrame([("2", "g"), ("3", "g"), ("4", "h"), ("1", "g"), ("6", "h")], "account_id string, group_id string")
+    matches, counts = alias.alias_matches(records, groups), alias.alias_match_counts(records, groups)
+    keys = ["record_id", "alias_text", "alias_source", "match_group_id", "score"]
+    grouped = matches.groupBy(*keys).count()
+    assert sorted(counts.select(*keys, "n").collect()) == sorted(grouped.collect())
+    assert sorted(alias.cross_references(counts).collect()) == sorted(alias.cross_references(matches).collect())
+    both = [alias.with_cross_references(records.select("account_id"), x).orderBy("account_id").collect() for x in (matches, counts)]
+    assert both[0] == both[1] and any(not r.alias_cross_refs for r in both[0])
+
+
+def test_alias_matches_of_names_that_many_records_hold(spark):
+    told = spark.range(2_000).selectExpr("'a' || id as account_id", "'Acme Tools; Acme Group ' || id % 5 as account_name")
+    records = normalise(told.unionByName(spark.range(2_000).selectExpr("'b' || id as account_id", "'Acme Tools' as account_name")))
+    groups = records.select("account_id", F.lit("g").alias("group_id"))
+    counts = alias.alias_match_counts(records, groups)  # 4 million matches, were they made
+    assert counts.agg(F.count("*"), F.sum("n")).first() == (2_000, 4_000_000)
