@@ -175,3 +175,20 @@ def test_pairs_out_of_reach_have_no_score_that_counts(spark):
     told = [(r["near"], r["score"]) for r in scored.collect()]
     assert all(near for near, score in told if score >= DEFAULTS.medium)
     assert any(score >= DEFAULTS.medium for _, score in told) and any(not near for near, _ in told)
+
+
+@pytest.mark.parametrize("most, overlap", [(None, 1), (None, 2), (1, 2), (3, 1), (50, 3)])
+def test_pairs_of_soft_banned_shards_are_counted_without_being_made(spark, most, overlap):
+    kinds = ["new york", "new york one", "new york one two", "new york o", "new", "new york zzzzzzzzzzzzzzzz qqqqqqqqqqqqqqq", "new haven x", "new haven y"]
+    names = [kinds[(7 * i + i // 3) % len(kinds)] for i in range(60)]
+    rows = spark.createDataFrame([(i // 2 if i > 50 else i, f"{i:03d}", n, "NONE") for i, n in enumerate(names)], "row_seq int, account_id string, name_core string, suffix_class string")
+    s = DEFAULTS.but(block_cap=10, deny_tokens=("new",), max_shard_size=5, max_candidates=most, min_token_overlap=overlap, char_bigram_gate=0.3)
+    made = blocking._pairs_with_blocks(blocking.blocks(rows, s), s).count()
+    (r,) = blocking.block_stats(rows, s).collect()
+    assert r.strategy == "soft_ban_sharded" and r.pairs_generated == made > 0
+
+
+def test_block_stats_of_a_soft_banned_block_of_one_name(spark):
+    rows = spark.range(60_000).selectExpr("cast(id as int) as row_seq", "'' || id as account_id", "if(id % 3 = 0, 'new york one', 'new york two') as name_core", "'NONE' as suffix_class")
+    (r,) = blocking.block_stats(rows, DEFAULTS.but(deny_tokens=("new",))).collect()  # 1.8 billion pairs, were they made
+    assert r.pairs_generated == 50 * 60_000 - 2 * (50 * 51 // 2)
