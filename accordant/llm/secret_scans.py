@@ -8,9 +8,9 @@ Wald-Wolfowitz runs test about the alphabet's middle, and the serial correlation
 least of their p-values says how much the token looks like a random string.
 
 A discovery is a token called a secret, and a false one is a text called so. So what is tested is that a
-token is text, against what text makes of the battery: every document gives tokens of its own words in two
-of the encodings and each length class, joined as names, paths and slugs are (and the license templates' words do, so that
-a small corpus has some, too). A token's p-value is the share of these that look as random as it, and
+token is text, against what text makes of the battery: all words of every document are joined
+as names, paths and slugs are, in each of the encodings, and cut into tokens of the length classes in turn, end to end (and the license
+templates' words are, so that a small corpus has some, too). A token's p-value is the share of these that look as random as it, and
 the Benjamini-Hochberg step holds the share of texts among a class's secrets to a rate. It is aware of length:
 where text passes for random, as in short words, nothing is called a secret. The battery's own p-values only rank, so
 their approximations for short tokens don't enter the rate. Tokens and texts meet in histograms of fixed size.
@@ -27,6 +27,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_columns, ids_of, materialise
+from .common import chunks, id_columns, ids_of, materialise
 from .license_scans import TEMPLATES
 
 #: The known kinds, in the order in which ties are listed.
@@ -54,8 +55,10 @@ ENCODINGS = ["hex", "base32", "base64", "letters", "both cases", "letters and si
 FALSE_DISCOVERY = 0.01
 #: -log10 of the battery's p-values are counted in bins of this width, up to MOST: the first bins look random.
 BIN, MOST = 0.05, 20.0
-#: Characters of a document from which its own tokens are made, from a place that its checksum names.
+#: Characters of the license templates from which one list of words is made.
 SOURCE = 800
+#: Characters of texts whose tokens are tested together.
+COUNTED_CHARS = 250_000
 #: An assignment holds one of these, whatever its case.
 _NAMES = ("password", "passwd", "secret", "token", "api")
 
@@ -63,7 +66,7 @@ _NAMES = ("password", "passwd", "secret", "token", "api")
 MARK = "[secret]"
 
 SPAN = "struct<kind:string,start:int,end:int>"
-SCAN_SCHEMA = f"key long, spans array<{SPAN}>, tokens array<struct<start:int,end:int,stratum:int,bin:int>>, own array<int>"
+SCAN_SCHEMA = f"key long, spans array<{SPAN}>, tokens array<struct<start:int,end:int,stratum:int,bin:int>>, own array<struct<stratum:int,bin:int,n:long>>"
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -108,35 +111,37 @@ def _erfc(x: np.ndarray) -> np.ndarray:
     return np.fromiter(map(math.erfc, x.tolist()), np.float64, len(x))
 
 
-def _chi_squared_tail(x: np.ndarray, k: int) -> np.ndarray:
-    """P(chi-squared with k degrees > x), by Wilson and Hilferty's cube root."""
-    return 0.5 * _erfc(((x / k) ** (1 / 3) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k)) / math.sqrt(2))
-
-
 def batteries(encoding: str, values: np.ndarray) -> np.ndarray:
     """The least p-value of the tests, under uniform and independent characters, of each row of `values`."""
     (m, n), size = values.shape, _SIZES[encoding]
-    row = np.arange(m)[:, None]
+    each = np.bincount((np.arange(0, m * size, size)[:, None] + values).ravel(), minlength=m * size).reshape(m, size).astype(np.float32)
     # Classes as wide as keep five expected in each, so that the approximation holds for short tokens.
     classes = int(max(2, min(size, n // 5)))
-    counts = np.bincount((row * classes + values * classes // size).ravel(), minlength=m * classes).reshape(m, classes)
-    spread = np.bincount(np.arange(size) * classes // size, minlength=classes) / size * n
-    uniform = _chi_squared_tail(((counts - spread) ** 2 / spread).sum(axis=1), classes - 1)
+    of_class = np.arange(size) * classes // size
+    counts = each @ (of_class[:, None] == np.arange(classes)).astype(np.float32)
+    spread = np.bincount(of_class, minlength=classes) / size * n
+    k = classes - 1
+    uniform = (((((counts - spread) ** 2 / spread).sum(axis=1) / k) ** (1 / 3)) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k))  # Wilson and Hilferty's cube root
     # Characters that recur more often than chance: the chi-squared over the whole alphabet, for its mean and variance.
-    each = np.bincount((row * size + values).ravel(), minlength=m * size).reshape(m, size)
-    pairs, mean = (each * (each - 1)).sum(axis=1) / 2, n * (n - 1) / 2 / size
-    recur = 0.5 * _erfc((pairs - mean) / math.sqrt(mean * (1 - 1 / size)) / math.sqrt(2))
-    high = values >= size / 2
-    ups = high.sum(axis=1)
+    pairs, mean = (np.einsum("ij,ij->i", each, each).astype(np.float64) - n) / 2, n * (n - 1) / 2 / size
+    recur = (pairs - mean) / math.sqrt(mean * (1 - 1 / size))
+    high = values >= size // 2
+    ups = np.count_nonzero(high, axis=1)
     expected = 1 + 2 * ups * (n - ups) / n
     variance = np.maximum(1e-9, (expected - 1) * (expected - 2) / (n - 1))
-    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
-    run = np.where((ups == 0) | (ups == n), 2.0 ** (1 - n), _erfc(np.abs(runs - expected) / np.sqrt(variance) / math.sqrt(2)))
-    centred = values - values.mean(axis=1, keepdims=True)
-    total = (centred**2).sum(axis=1)
-    shift = np.abs((centred[:, 1:] * centred[:, :-1]).sum(axis=1) / np.where(total > 0, total, 1) + 1 / n)
-    serial = np.where(total > 0, _erfc(shift * math.sqrt(n / 2)), 0.0)
-    return np.minimum(np.minimum(uniform, recur), np.minimum(run, serial))
+    runs = 1 + np.count_nonzero(high[:, 1:] != high[:, :-1], axis=1)
+    run = np.abs(runs - expected) / np.sqrt(variance)
+    # Sums of products of whole numbers; of a token's 128 characters exact in float32, and of any length in float64.
+    v = values.astype(np.float32 if n <= LENGTHS[-1] else np.float64)
+    sums, squares, products = (x.astype(np.float64) for x in (v.sum(axis=1), np.einsum("ij,ij->i", v, v), np.einsum("ij,ij->i", v[:, 1:], v[:, :-1])))
+    total = squares - sums * sums / n
+    some = total > 1e-9
+    shift = products - sums / n * (2 * sums - v[:, 0] - v[:, -1]) + (n - 1) * (sums / n) ** 2
+    serial = np.abs(shift / np.where(some, total, 1) + 1 / n) * math.sqrt(n)
+    # The least p-value is that of the largest deviation, one-sided of the first two and two-sided of the others.
+    flat = (ups == 0) | (ups == n)
+    p = np.minimum(0.5 * _erfc(np.maximum(uniform, recur) / math.sqrt(2)), _erfc(np.maximum(np.where(flat, 0, run), np.where(some, serial, 0)) / math.sqrt(2)))
+    return np.where(some, np.where(flat, np.minimum(p, 2.0 ** (1 - n)), p), 0.0)
 
 
 def _bins(p: np.ndarray) -> np.ndarray:
@@ -145,7 +150,7 @@ def _bins(p: np.ndarray) -> np.ndarray:
 
 _TABLES = {}
 for _encoding, _values in _VALUES.items():
-    _TABLES[_encoding] = np.zeros(256, dtype=np.int64)
+    _TABLES[_encoding] = np.zeros(256, dtype=np.uint8)
     for _c, _v in _values.items():
         _TABLES[_encoding][ord(_c)] = _v
 
@@ -160,21 +165,32 @@ def battery(token: str) -> tuple[str, int]:
     return encoding, int(_bins(batteries(encoding, values_of(encoding, token.rstrip("="))[None, :]))[0])
 
 
-_PLAIN, _NOT_HEX = re.compile("[A-Za-z0-9]+"), re.compile("[^0-9a-f]+")
+_PLAIN = re.compile("[A-Za-z0-9]+")
+_APART = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
+_NOT_HEX = bytes(c for c in range(256) if chr(c) not in "0123456789abcdef")
+
 
+@lru_cache(maxsize=100_000)
+def _number(word: str) -> str:
+    return str(zlib.crc32(word.encode()) % 1000)
 
-def text_token(words: list[str], encoding: str, sign: str) -> str:
-    """What the words make as a token of an encoding: a name, path or slug, with numbers where the encoding has digits."""
+
+def text_token(words: list[str], encoding: str, sign: str, names: list[str] | None = None) -> str:
+    """What the words make as a token of an encoding: a name, path or slug, with numbers where the encoding has digits. `names`: those of letters alone."""
     if encoding == "hex":
-        return _NOT_HEX.sub("", "".join(words).lower())
+        return "".join(words).lower().encode().translate(None, _NOT_HEX).decode()
     if encoding == "base64":
-        return sign.join([f"{w}{sign}{zlib.crc32(w.encode()) % 1000}" if n % 3 == 2 else w for n, w in enumerate(words)])
-    names = [w for w in words if w.isalpha()]
+        said = list(words)
+        said[2::3] = [f"{w}{sign}{_number(w)}" for w in said[2::3]]
+        return sign.join(said)
+    names = list(filter(str.isalpha, words)) if names is None else names
     if encoding == "base32":
-        return "".join([w.upper() + str(2 + len(w) % 6) * (n % 3 == 2) for n, w in enumerate(names)])
+        said = list(names)
+        said[2::3] = [w + "234567"[len(w) % 6] for w in said[2::3]]
+        return "".join(said).upper()
     if encoding == "letters":
         return "".join(names).lower()
-    return sign.join(names) if encoding == "letters and signs" else "".join([w.capitalize() for w in names])
+    return sign.join(names) if encoding == "letters and signs" else " ".join(names).title().replace(" ", "")
 
 
 def own_bins(many: list[list[str]], turns: list[int] | None = None) -> np.ndarray:
@@ -195,10 +211,49 @@ def own_bins(many: list[list[str]], turns: list[int] | None = None) -> np.ndarra
 
 
 def source_words(text: str) -> tuple[list[str], int]:
-    """Words of a text from a place that its checksum names, around the end, and the text's turn."""
-    named = zlib.crc32(text.encode("utf-8", "surrogatepass"))
-    at = named % max(1, len(text))
-    return _PLAIN.findall(text if len(text) <= SOURCE else text[at : at + SOURCE] + " " + text[: max(0, at + SOURCE - len(text))]), named // 7 % 3
+    """All words of a text, and a turn that its checksum names."""
+    return _PLAIN.findall(text), zlib.crc32(text.encode("utf-8", "surrogatepass")) // 7 % 3
+
+
+@lru_cache(maxsize=1024)
+def cuts_of(n: int) -> list[tuple[int, int]]:
+    """(start, class) of the tokens that n characters are cut into, one behind the other: of each length class in turn, and what is left
+    into the longest that fit. Fewer than the least length make no token."""
+    out, at, k = [], 0, 0
+    while n - at >= LENGTHS[0]:
+        while LENGTHS[k] > n - at:
+            k -= 1
+        out.append((at, k))
+        at, k = at + LENGTHS[k], (k + 1) % len(LENGTHS)
+    return out
+
+
+def _all_cuts(sizes: list[int]) -> list[np.ndarray]:
+    """By length class, where the tokens of strings of these sizes, end to end, start."""
+    cycle = sum(LENGTHS)  # whole turns first
+    turns, ends = np.array(sizes, dtype=np.int64) // cycle, np.cumsum(sizes)
+    nth = np.arange(turns.sum()) - np.repeat(np.cumsum(turns) - turns, turns)
+    base = np.repeat(ends - sizes, turns) + cycle * nth
+    left = [[] for _ in LENGTHS]
+    for n, whole, end in zip(sizes, turns.tolist(), ends.tolist()):
+        for at, k in cuts_of(n - whole * cycle):
+            left[k].append(end - n + whole * cycle + at)
+    return [np.concatenate((base + sum(LENGTHS[:k]), np.array(x, dtype=np.int64))) for k, x in enumerate(left)]
+
+
+def text_counts(texts: list[str]) -> np.ndarray:
+    """Tokens that the whole texts make, in every encoding, by stratum and bin."""
+    out = np.zeros((len(ENCODINGS) * len(LENGTHS), int(MOST / BIN) + 1), dtype=np.int64)
+    words = [t.encode("utf-8", "surrogatepass").translate(_APART).decode().split() for t in texts]  # as _PLAIN finds them
+    names = [list(filter(str.isalpha, own)) for own in words]
+    for e, encoding in enumerate(ENCODINGS):
+        made = [text_token(own, encoding, "_-/"[len(own) % 3], x) for own, x in zip(words, names)]
+        values = values_of(encoding, "".join(made))
+        for k, (starts, length) in enumerate(zip(_all_cuts([len(x) for x in made]), LENGTHS)):
+            for a in range(0, len(starts), 4096):
+                rows = values[starts[a : a + 4096, None] + np.arange(length)]
+                out[e * len(LENGTHS) + k] += np.bincount(_bins(batteries(encoding, rows)), minlength=out.shape[1])
+    return out
 
 
 def stratum_of(encoding: str, length: int) -> int:
@@ -219,7 +274,7 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Known spans of each row, the tested tokens with stratum and bin, and the bins of its own tokens by stratum. Keyed by `key` as a long."""
+    """Known spans of each row, the tested tokens with stratum and bin; and in one row of a batch, how many tokens its texts make by stratum and bin. Keyed by `key` as a long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -228,7 +283,10 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 known, tested = scan_text(value)
                 spans.append([(KINDS[k], a, b) for a, k, b in known])
                 tokens.append(tested)
-            own = [x for a in range(0, len(texts), 512) for x in own_bins(*map(list, zip(*map(source_words, texts[a : a + 512]))))]
+            own = [[] for _ in texts]
+            if texts:
+                counts = sum(text_counts(texts[a:b]) for a, b in chunks(texts, COUNTED_CHARS))
+                own[0] = [(int(s), int(x), int(counts[s, x])) for s, x in zip(*np.nonzero(counts))]
             yield pd.DataFrame({"key": ids_of(batch), "spans": spans, "tokens": tokens, "own": own})
 
     return docs.select(*id_columns(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).mapInPandas(run, SCAN_SCHEMA)
@@ -239,11 +297,11 @@ def _histograms(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     shape = (len(ENCODINGS) * len(LENGTHS), int(MOST / BIN) + 1)
     tokens, texts = np.zeros(shape, dtype=np.int64), np.zeros(shape, dtype=np.int64)
     said = scanned.select(F.explode(F.concat(
-        F.transform("tokens", lambda x: F.struct(F.lit(True).alias("token"), x["stratum"].alias("stratum"), x["bin"].alias("bin"))),
-        F.transform("own", lambda x, n: F.struct(F.lit(False).alias("token"), n.alias("stratum"), x.alias("bin"))),
-    )).alias("x")).where("x.bin >= 0")
-    for r in said.groupBy("x.token", "x.stratum", "x.bin").count().collect():
-        (tokens if r["token"] else texts)[r["stratum"], r["bin"]] = r["count"]
+        F.transform("tokens", lambda x: F.struct(F.lit(True).alias("token"), x["stratum"].alias("stratum"), x["bin"].alias("bin"), F.lit(1).cast("long").alias("n"))),
+        F.transform("own", lambda x: F.struct(F.lit(False).alias("token"), x["stratum"].alias("stratum"), x["bin"].alias("bin"), x["n"].alias("n"))),
+    )).alias("x"))
+    for r in said.groupBy("x.token", "x.stratum", "x.bin").agg(F.sum("x.n").alias("n")).collect():
+        (tokens if r["token"] else texts)[r["stratum"], r["bin"]] = r["n"]
     return tokens, texts + _template_texts()
 
 

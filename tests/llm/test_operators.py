@@ -729,6 +729,27 @@ def test_planted_secrets_are_found_and_texts_are_not(spark):
     assert [found[i] for i, _ in rows] == brute_secrets([t for _, t in rows])
 
 
+def test_secrets_are_held_against_whole_texts(spark, texts):
+    """Every word of every text makes tokens, in each encoding, and they are counted once, whatever the partitions."""
+    rng = random.Random(5)
+    rows = [t or "" for _, t in texts] + [" ".join("".join(rng.choice("abcdefgXYZ019") for _ in range(rng.randint(1, 9))) for _ in range(n)) + " é_ß-x" * (n % 7) for n in (0, 3, 4, 9, 60, 700, 2500)]
+    wanted = np.zeros_like(secret_scans._template_texts())
+    for t in rows:
+        words = re.findall("[A-Za-z0-9]+", t)
+        for e, encoding in enumerate(secret_scans.ENCODINGS):
+            made, at, k = secret_scans.text_token(words, encoding, "_-/"[len(words) % 3]), 0, 0
+            while len(made) - at >= 20:
+                while (length := (20, 28, 40, 64, 128)[k]) > len(made) - at:
+                    k -= 1
+                p = secret_scans.batteries(encoding, secret_scans.values_of(encoding, made[at : at + length])[None, :])
+                wanted[e * 5 + k, secret_scans._bins(p)[0]] += 1
+                at, k = at + length, (k + 1) % 5
+            assert len(made) - at < 20
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    _, counted = secret_scans._histograms(secret_scans.scan(df))
+    assert (counted - secret_scans._template_texts() == wanted).all() and wanted.sum() > 1000
+
+
 def test_secret_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = sorted((r.doc_id, r.text or "") for r in docs.collect())
