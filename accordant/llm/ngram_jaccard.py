@@ -52,6 +52,8 @@ RANKED = 1 << 18
 COUNTED, TOLD = 3_000_000, 3
 #: Shingles that one task holds of a cell; beyond it the cell is cut into blocks.
 CELL_SHINGLES = 4_000_000
+#: Bits of a name that prefixes leave out where they are shuffled.
+POSTED = np.uint64(16)
 #: Digests a worker remembers to pass over copies.
 REMEMBERED = 300_000
 
@@ -115,9 +117,14 @@ def _name_sets(docs: DataFrame, width: int) -> DataFrame:
         shingler, seen, pending, held = Shingler(width), set(), [], 0
 
         def told() -> pd.DataFrame:
-            names, counts = np.unique(np.concatenate(pending), return_counts=True) if pending else (np.empty(0, np.uint64), np.empty(0, np.int64))
+            # Sorted in place, and the sets go first: np.unique would hold several copies of the names.
+            names = np.concatenate(pending)
+            pending.clear()
+            names.sort()
+            starts = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+            counts = np.diff(starts, append=len(names))
             often = counts >= TOLD
-            return pd.DataFrame({"doc": pd.array([None], dtype="Int64"), "h": [0], "n": [-1], "d1": [0], "d2": [0], "shingles": [names[often].view(np.int64)], "counts": [counts[often]]})
+            return pd.DataFrame({"doc": pd.array([None], dtype="Int64"), "h": [0], "n": [-1], "d1": [0], "d2": [0], "shingles": [names[starts[often]].view(np.int64)], "counts": [counts[often]]})
 
         for batch in batches:
             keys, texts = ids_of(batch), batch["t"].tolist()
@@ -134,7 +141,7 @@ def _name_sets(docs: DataFrame, width: int) -> DataFrame:
                 yield pd.DataFrame({"doc": keys[a:b], "h": batch["h"].to_numpy()[a:b], "n": [len(s) for s in sets], "d1": [d[0] for d in digests], "d2": [d[1] for d in digests], "shingles": None, "counts": None})
                 if held >= COUNTED:
                     yield told()
-                    pending, held = [], 0
+                    held = 0
         if pending:
             yield told()
 
@@ -164,7 +171,11 @@ def prefix_of(own: np.ndarray, names: np.ndarray, ranks: np.ndarray, percent: in
 
 
 def _postings(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
-    """token, d1: the prefix of each set, once for copies in a worker."""
+    """d1, token: the prefix of each set, once for copies in a worker.
+
+    A token is the upper 48 bits of a shingle's name: the zeros above them join those of the next row's head, so a shuffled row
+    packs to two bytes less. Shingles that share them only put more sets into a cell, whose search compares whole names.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(width), set()
@@ -176,14 +187,14 @@ def _postings(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
                 for own in shingler.sets(texts[a:b]):
                     if len(own) and (d := _digest(own)) not in seen:
                         seen.add(d)
-                        tokens.append(prefix_of(own, names, ranks, percent).view(np.int64))
+                        tokens.append((prefix_of(own, names, ranks, percent) >> POSTED).view(np.int64))
                         digests.append(np.full(len(tokens[-1]), d[0], dtype=np.int64))
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 if tokens:
-                    yield pd.DataFrame({"token": np.concatenate(tokens), "d1": np.concatenate(digests)})
+                    yield pd.DataFrame({"d1": np.concatenate(digests), "token": np.concatenate(tokens)})
 
-    return docs.where("not doc_null").select("t").mapInPandas(run, "token long, d1 long")
+    return docs.where("not doc_null").select("t").mapInPandas(run, "d1 long, token long")
 
 
 def links_of(sets: list[np.ndarray], percent: int = PERCENT) -> Iterator[tuple[int, np.ndarray]]:

@@ -779,3 +779,11 @@ def test_common_lengths_and_full_pieces_are_ranked_apart(spark):
             assert offset == at
             at += n
     assert len(bins) == 140 + 70 + 18  # 8s alone, 5 beside 3, 2s by four
+
+
+def test_prefixes_are_shuffled_by_48_bits(spark, texts):
+    df = spark.createDataFrame(texts, "doc long, t string").selectExpr("*", "false as doc_null")
+    order = spark.sparkContext.broadcast((np.empty(0, np.uint64), np.empty(0, np.int64)))
+    got = ngram_jaccard._postings(df, order, 5, 75)
+    names = np.concatenate([ngram_jaccard.prefix_of(s, *order.value) for s in ngram_jaccard.Shingler().sets([t or "" for _, t in texts]) if len(s)])
+    assert got.columns[-1] == "token" and {r.token for r in got.collect()} == set((names >> np.uint64(16)).tolist())
